@@ -3,14 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quoin.llm import tokenizing
+from quoin.llm import encoding_repair, tokenizing
 from quoin.session import table
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, h = table(spark, sf_dir, "reviews"), table(spark, sf_dir, "leoh")
+    part = lambda df, name, key, field: df.select(F.lit(name).alias("tbl"), F.col(key).alias("row_id"), F.lit(field).alias("field"), F.col(field).alias("text"))
+    return part(r, "reviews", "review_id", "positive").unionByName(part(r, "reviews", "review_id", "negative")).unionByName(part(h, "leoh", "rec_id", "name"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_repair.find_damaged(_texts(spark, sf_dir), ["tbl", "row_id", "field"])[0]
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged fields with the text as it stands and as restored."""
+    texts = _texts(spark, sf_dir)
+    keys, model = encoding_repair.find_damaged(texts, ["tbl", "row_id", "field"])
+    return encoding_repair.restore_texts(texts.join(keys, ["tbl", "row_id", "field"], "left_semi"), model)
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p7_ids": p7_ids}
 ORACLE: dict[str, str] = {}
