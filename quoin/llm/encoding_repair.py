@@ -209,7 +209,9 @@ class Model:
         return {x: u for x, u in out.items() if all(c <= "\x7f" or c == "�" or c in first for c in x)}
 
     def fill(self, s: str) -> str:
-        """Replace each U+FFFD by the likeliest character, or by none where it stands for more than one lost byte."""
+        """Replace each U+FFFD by the likeliest character; a token of which more than a third is lost stays as it is."""
+        if s.count("�") * 3 > len(s) and len(s) > 2:
+            return s
         beam = {"\x02": (0.0, "")}
         for c in s:
             nxt: dict[str, tuple[float, str]] = {}
@@ -263,7 +265,7 @@ class Model:
 
 
 def first_wide(first: Counter) -> list[str]:
-    return [c for c in first if c > "\x7f" and c.isalpha()]
+    return [c for c in first if c > "\x7f" and c != "�"]
 
 
 def _runs(got: str, true: str) -> str | None:
@@ -339,7 +341,9 @@ def damaged_tokens(tokens: DataFrame, model: Model) -> DataFrame:
             m.memo.clear()
             yield pd.DataFrame(rows, columns=["t", "restored"])
 
-    return tokens.select("t").mapInPandas(judge, "t string, restored string")
+    # Few bytes but much work: by bytes alone adaptive execution would make one task of it.
+    n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tokens.select("t").repartition(n, "t").mapInPandas(judge, "t string, restored string")
 
 
 def _restore(shared):
