@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoin.llm import encoding_repair, tokenizing
+from quoin.llm import encoding_repair, entity_match, name_variants, tokenizing
 from quoin.session import table
 
 
@@ -26,9 +26,26 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_repair.restore_texts(texts.join(keys, ["tbl", "row_id", "field"], "left_semi"), model)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = entity_match.match(*entity_match.tables(spark, sf_dir))
+    return found.where(F.col("confidence") >= entity_match.CONFIDENT).select("leo_id", "bkg_id")
+
+
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All compared pairs near a source record's best, with their confidence."""
+    return entity_match.match(*entity_match.tables(spark, sf_dir))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = table(spark, sf_dir, "leoh")
+    places = name_variants.link_places(h, table(spark, sf_dir, "cities")).select(F.lit("name").alias("field"), "key_a", "key_b")
+    chains = name_variants.link_chains(h, table(spark, sf_dir, "chain_codes")).select(F.lit("chain").alias("field"), "key_a", "key_b")
+    return places.unionByName(chains)
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p7_ids": p7_ids}
 ORACLE: dict[str, str] = {}
