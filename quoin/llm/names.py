@@ -218,7 +218,7 @@ def positions(lat: float | None, lng: float | None) -> list[tuple[float, float]]
         out.append((lat, lng))
         if abs(lng) < 90 and not is_coarse(lat, lng):
             out.append((lng, lat))
-    elif usable(lng, lat):
+    elif usable(lng, lat) and abs(lat) != 90:  # a pole is a placeholder, not a longitude
         out.append((lng, lat))
     whole = lat == int(lat) and lng == int(lng)
     if whole and (abs(lat) > 90 or abs(lng) > 180 or not out):
