@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoin.llm import encoding_repair, entity_match, name_variants, tokenizing
+from quoin.llm import encoding_repair, entity_match, name_variants, nn_descent, tokenizing
 from quoin.session import table
 
 
@@ -43,9 +43,23 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.unionByName(chains)
 
 
+#: Length of room_images.features and the lowest similarity of a case.
+IMAGE_DIM, IMAGE_LEAST = 96, 0.95
+
+
+def _image_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = table(spark, sf_dir, "room_images").select(F.col("image_id").alias("id"), "features")
+    return nn_descent.knn_graph(images, IMAGE_DIM, 5, IMAGE_LEAST)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _image_graph(spark, sf_dir)
+    return g.select(F.least("id", "neighbour").alias("image_a"), F.greatest("id", "neighbour").alias("image_b")).distinct()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p4_found": p4_found, "p7_ids": p7_ids}
 ORACLE: dict[str, str] = {}
