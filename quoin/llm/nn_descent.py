@@ -5,8 +5,9 @@ cross-polytope key (the signed axes nearest to it, a few in a row), the vectors
 linked to the next WINDOW. The sort is a range partitioning by (key, id), so a key that a third of all vectors
 share is spread over many tasks, and no bucket is ever expanded into all its pairs. Then NN-descent: the
 neighbours of a vector's neighbours are joined to it, the best DEGREE links of each are kept, and this is
-repeated until fewer than STOP of the links are new. Links carry bit codes (signs of random projections), so the
-rounds move a few dozen bytes per link; only the graph that came out of them is scored with the vectors themselves.
+repeated until fewer than STOP of the links are new; a pair of neighbours is only offered once, while one of its
+two links is new. The rounds compare bit codes (signs of random projections), so they move a few dozen bytes per
+link; only the graph that came out of them is scored with the vectors themselves.
 
 ``least`` is the lowest similarity of interest: links whose codes are further apart than such vectors' codes can
 be (by SLACK standard deviations) are dropped at once, so vectors without a near neighbour cost nothing in the
@@ -28,8 +29,8 @@ from pyspark.sql import types as T
 from quoin.session import checkpoint
 
 TABLES, WINDOW, AXES = 8, 10, 4
-CODE_WORDS = 4
-DEGREE, STOP, ROUNDS = 20, 0.005, 6
+CODE_WORDS = 2
+DEGREE, STOP, ROUNDS = 24, 0.005, 6
 SLACK = 4.0
 SEED = 7
 
@@ -54,7 +55,7 @@ def _unit(rows: pd.Series, dim: int) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-NODE = "id long, h long, w0 long, w1 long, w2 long, w3 long, " + ", ".join(f"k{t} long" for t in range(TABLES))
+NODE = "id long, h long, " + ", ".join(f"w{i} long" for i in range(CODE_WORDS)) + ", " + ", ".join(f"k{t} long" for t in range(TABLES))
 
 
 def encode(vectors: DataFrame, dim: int, seed: int = SEED) -> DataFrame:
@@ -101,71 +102,57 @@ def _apart(p: str, q: str):
     return total
 
 
-LINK = "a long, b long, d int, " + ", ".join(f"{x} long" for x in (*_code("a"), *_code("b")))
+LINK = "a long, b long, d int"
 
 
 def seed_links(nodes: DataFrame, most: int) -> DataFrame:
-    """Links of vectors that stand near each other in the order of one of the tables' keys, both ways."""
+    """Links a < b of vectors that stand near each other in the order of one of the tables' keys."""
     keyed = nodes.select("id", *_code(), F.explode(F.array(*(F.struct(F.lit(t).cast("byte").alias("t"), F.col(f"k{t}").alias("k")) for t in range(TABLES)))).alias("x")).select("x.t", "x.k", "id", *_code())
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = keyed.repartitionByRange(n, "t", "k", "id").sortWithinPartitions("t", "k", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None
-        names = [c.split()[0] for c in LINK.split(", ")]
         for pdf in batches:
             both = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
             fresh = 0 if tail is None else len(tail)
-            t, ids = both["t"].to_numpy(), both["id"].to_numpy()
-            w = both[_code()].to_numpy()
-            rows = []
+            t, ids, w = both["t"].to_numpy(), both["id"].to_numpy(), both[_code()].to_numpy().astype(np.int64).view(np.uint64)
             for s in range(1, WINDOW + 1):
-                lo = max(fresh, s)  # the later of the two is new in this batch
-                if lo >= len(both):
-                    continue
-                j = np.arange(lo, len(both))
+                j = np.arange(max(fresh, s), len(both))  # the later of the two is new in this batch
                 i = j - s
                 d = np.bitwise_count(w[i] ^ w[j]).sum(axis=1)
-                ok = np.flatnonzero((t[i] == t[j]) & (d <= most))
-                rows.append((i[ok], j[ok], d[ok]))
-            i, j, d = (np.concatenate(x) for x in zip(*rows)) if rows else (np.empty(0, int),) * 3
-            for x, y in ((i, j), (j, i)):
-                yield pd.DataFrame(np.column_stack([ids[x], ids[y], d, w[x], w[y]]), columns=names).astype({"d": "int32"}) if len(x) else pd.DataFrame({k: [] for k in names}).astype({k: "int32" if k == "d" else "int64" for k in names})
+                ok = (t[i] == t[j]) & (d <= most)
+                x, y = ids[i[ok]], ids[j[ok]]
+                yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "d": d[ok].astype(np.int32)})
             tail = both.tail(WINDOW)
 
-    return ordered.mapInPandas(run, LINK)
+    return ordered.mapInPandas(run, LINK).where("a <> b").dropDuplicates(["a", "b"])
 
 
-def _best(links: DataFrame, degree: int) -> DataFrame:
-    """The nearest ``degree`` different links of each vector. Duplicates go in the first, map-side step."""
-    cols = links.columns
-    one = links.groupBy("a", "b").agg(*(F.first(c).alias(c) for c in cols if c not in ("a", "b")))
-    w = Window.partitionBy("a").orderBy("d", "b")
-    return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= degree).select(*cols)
+def descend(links: DataFrame, codes: DataFrame, most: int, degree: int = DEGREE, rounds: int = ROUNDS, stop: float = STOP) -> DataFrame:
+    """Rounds of NN-descent on links (a < b, d) of the vectors with these codes; returns the links kept, a < b.
 
-
-def descend(links: DataFrame, most: int, degree: int = DEGREE, rounds: int = ROUNDS, stop: float = STOP) -> DataFrame:
-    """Rounds of NN-descent: neighbours of neighbours are offered to each vector, the nearest are kept."""
-    graph = checkpoint(_best(links, degree))
-    size = graph.count()
-    swap = {**{f"aw{i}": f"bw{i}" for i in range(CODE_WORDS)}, **{f"bw{i}": f"aw{i}" for i in range(CODE_WORDS)}}
+    Each vector's nearest ``degree`` links count as its neighbours, so a vector joins no more than degree squared
+    pairs a round, however many vectors lie close to it.
+    """
+    codes = codes.select("id", *_code())
+    graph = checkpoint(links.select("a", "b", "d", F.lit(True).alias("new")))
     for _ in range(rounds):
-        if not size:
-            break
-        # Links in both directions, so that a vector many point to passes no more than its own best on.
-        back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "d", *(F.col(swap[c]).alias(c) for c in (*_code("a"), *_code("b"))))
-        near = _best(graph.unionByName(back), degree)
-        left = near.select(F.col("b").alias("m"), F.col("a").alias("x"), *(F.col(c).alias("x" + c[1:]) for c in _code("a")))
-        right = near.select(F.col("a").alias("m"), F.col("b").alias("y"), *(F.col(c).alias("y" + c[1:]) for c in _code("b")))
-        met = left.join(right, "m").where("x < y").withColumn("d", _apart("x", "y").cast("int")).where(F.col("d") <= most)
-        ways = F.array(*(F.struct(F.col(p).alias("a"), F.col(q).alias("b"), "d", *(F.col(p + c[1:]).alias(c) for c in _code("a")), *(F.col(q + c[1:]).alias(c) for c in _code("b"))) for p, q in (("x", "y"), ("y", "x"))))
-        offered = met.dropDuplicates(["x", "y"]).select(F.inline(ways))
-        new = checkpoint(_best(graph.unionByName(offered), degree))
-        fresh = new.join(graph.select("a", "b"), ["a", "b"], "left_anti").count()
-        graph, size = new, new.count()
+        ways = F.array(F.struct("a", "b", "d", "new"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "d", "new"))
+        rank = F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))
+        near = graph.select(F.inline(ways)).withColumn("rank", rank).where(F.col("rank") <= degree).drop("rank")
+        near = checkpoint(near.join(codes.withColumnRenamed("id", "b"), "b"))
+        left = near.select(F.col("a").alias("m"), F.col("b").alias("x"), F.col("new").alias("nx"), *(F.col(c).alias("x" + c) for c in _code()))
+        right = near.select(F.col("a").alias("m"), F.col("b").alias("y"), F.col("new").alias("ny"), *(F.col(c).alias("y" + c) for c in _code()))
+        met = left.join(right, "m").where("x < y AND (nx OR ny)").withColumn("d", _apart("x", "y").cast("int")).where(F.col("d") <= most)
+        kept = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d", F.lit(False).alias("new"))
+        offered = met.select(F.col("x").alias("a"), F.col("y").alias("b"), "d", F.lit(True).alias("new"))
+        # A link that was there before is none of the new ones.
+        graph = checkpoint(kept.unionByName(offered).groupBy("a", "b").agg(F.min("d").alias("d"), F.min("new").alias("new")))
+        size, fresh = graph.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("new").cast("long")), F.lit(0))).first()
         if fresh <= stop * size:
             break
-    return graph
+    return graph.select("a", "b", "d")
 
 
 def _cosine(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -188,8 +175,7 @@ def knn_graph(vectors: DataFrame, dim: int, k: int = 5, least: float = -1.0, see
     group = nodes.groupBy("h").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
     alone = nodes.join(group.select(F.col("node").alias("id")), "id", "left_semi")
     most = reach(least)
-    graph = descend(seed_links(alone, most), most)
-    pairs = graph.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = descend(seed_links(alone, most), alone, most).select("a", "b")
     vec = vectors.select("id", F.col("features").alias("vec"))
     cosine = F.pandas_udf(_cosine, T.DoubleType())
     scored = pairs.join(vec.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(vec.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")
