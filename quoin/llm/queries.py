@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoin.llm import encoding_repair, entity_match, name_variants, nn_descent, tokenizing
+from quoin.llm import encoding_repair, entity_match, mixing, name_variants, nn_descent, sentences, tokenizing
 from quoin.session import table
 
 
@@ -61,5 +61,20 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p4_found": p4_found, "p7_ids": p7_ids}
+def p8_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, table(spark, sf_dir, "mix_targets")).selection
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per plan and source: the target share, the tokens drawn and the share reached."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, table(spark, sf_dir, "mix_targets")).shares
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.split(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found}
 ORACLE: dict[str, str] = {}
