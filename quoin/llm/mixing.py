@@ -9,8 +9,8 @@ The documents of a source fall into blocks by a hash of their id. Which block go
 by a splitting tree: at each node the number of blocks of each source that go left is multivariate hypergeometric,
 given how many go to the left in all, down to single shards; so every shard gets a random but exact part of every
 source's blocks, and no block comes twice in a pass. The tree only handles counts: sources times shards numbers on
-the driver, of at most BLOCKS blocks per source whatever the size of the corpus. Within a shard documents are put
-in an order of their hash.
+the driver, of at most BLOCKS blocks per source whatever the size of the corpus. Within a shard documents have
+random places to be sorted by, so no shard is gathered into one task here.
 """
 
 from __future__ import annotations
@@ -95,8 +95,8 @@ def plan_blocks(plan: str, want: dict[str, int], sums: dict[str, dict[int, int]]
 def mix(docs: DataFrame, targets: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED, tokenizer: str = "byte_bpe_50k", folder: str = tokenizing.TOKENIZER_DIR) -> Mix:
     """docs(doc_id, source, text), targets(mix_plan, source, weight, max_repeats) -> the selection and the shares.
 
-    selection(mix_plan, shard, pos, doc_id, source, pass, n_tokens): a document comes at most once a pass, so at most
-    max_repeats times; pos is its place in its shard. Documents without tokens (null and empty texts) or source are
+    selection(mix_plan, shard, place, doc_id, source, pass, n_tokens): a document comes at most once a pass, so at most
+    max_repeats times; a shard is read in the order of place, a random number, then doc_id. Documents without tokens (null and empty texts) or source are
     never drawn. A source of a plan that no document has gets no tokens and its weight goes to the others in
     proportion; sources outside a plan aren't drawn for it; null, zero and negative weights draw nothing; of a plan's
     source given twice the weights are added and the smaller cap holds. The quota of a source is met up to part of
@@ -134,9 +134,7 @@ def mix(docs: DataFrame, targets: DataFrame, shards: int = SHARDS, blocks: int =
     run = Window.partitionBy("mix_plan", "source", "pass", "block").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = picked.where(F.col("cut").isNotNull()).withColumn("sum", F.sum("n_tokens").over(run)).where(F.col("sum") - F.col("n_tokens") / 2 <= F.col("cut")).drop("sum")
     chosen = whole.unionByName(part)
-    # A shard is one window: its size falls with their number.
-    pos = F.row_number().over(Window.partitionBy("mix_plan", "shard").orderBy(order, "doc_id", "pass")) - 1
-    selection = chosen.select("mix_plan", "shard", pos.alias("pos"), "doc_id", "source", "pass", "n_tokens")
+    selection = chosen.select("mix_plan", "shard", order.alias("place"), "doc_id", "source", "pass", "n_tokens")
     got = chosen.groupBy("mix_plan", "source").agg(F.sum("n_tokens").alias("tokens"), (F.max("pass") + 1).alias("repeats"))
     shares = F.broadcast(spark.createDataFrame(share_rows, SHARE_ROW)).join(got, ["mix_plan", "source"], "left").na.fill(0, ["tokens", "repeats"])
     share = F.coalesce(F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy("mix_plan"))), F.lit(0.0))
