@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from difflib import SequenceMatcher
 from itertools import combinations
 
@@ -81,6 +82,30 @@ def swap_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([swap_ratio_of(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 
 
+def _shared(a: str, b: str) -> int:
+    """Characters two strings share, wherever they stand."""
+    return (Counter(a) & Counter(b)).total()
+
+
+def similarity_above(least: float, swap: bool = False):
+    """Column function of the ratio, or with ``swap`` of the token-swap ratio, that gives 0 where it can't be above ``least``.
+
+    The matching characters are no more than the shared ones; names that leave tokens out are no shorter than those.
+    """
+
+    @F.pandas_udf(T.DoubleType())
+    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            x, y = x or "", y or ""
+            m = _shared(x, y)
+            top = (2 * m / (min(len(x), len(y)) + m) if swap else 2 * m / (len(x) + len(y))) if m else 0.0
+            out.append(0.0 if top <= least else swap_ratio_of(x, y) if swap else ratio_of(x, y))
+        return pd.Series(out, dtype="float64")
+
+    return similarity
+
+
 def ratio_bound(a: Column, b: Column) -> Column:
     """No ratio is above twice the shorter length over both: a filter before the Python comparison."""
     return F.coalesce(F.try_divide(2 * F.least(F.length(a), F.length(b)), F.length(a) + F.length(b)), F.lit(0.0))

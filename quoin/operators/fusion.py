@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quoin.session import prepare
+
 
 def _tail(scored: DataFrame, max_len: int, max_weight: float) -> DataFrame:
     """The limit on the length comes before the one on the score."""
@@ -28,6 +30,7 @@ def ensembling(lists: DataFrame, weights: dict | None = None, max_len: int = 5,
 
     The default grows along the list, taken by distance: a value above it makes it half as much again as the value.
     """
+    prepare(lists.sparkSession)
     v = _weighted(lists, weights or {})
     grown = F.aggregate(F.array_sort(F.collect_list("d")), F.lit(0.0), lambda d, x: F.when(x > d, 1.5 * x).otherwise(d))
     default = v.groupBy("qid", "list_id").agg(grown.alias("default"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quoin.functions import geo, text
 from quoin.operators.regions import circle_ring, points_in_regions
-from quoin.session import checkpoint
+from quoin.session import checkpoint, spread
 
 #: Passes of the cascade: (km, lowest similarity, only if it is the one candidate, tokens may be swapped).
 CASCADE = ((1, 0.6, False, False), (2, 0.75, False, False), (4, 0.8, False, False), (6, 0.86, False, False), (0.1, 0.5, True, False), (6, 0.86, True, True))
@@ -52,7 +52,7 @@ def candidates(src: DataFrame, tgt: DataFrame, km: float, least: float, stopword
         local = F.col("words")
     near = near.withColumn("a", text.normalize(F.col("name_a"), local)).withColumn("b", text.normalize(F.col("name_b"), local))
     near = near.withColumn("fa", text.normalize(F.col("name_a"), stopwords=False)).withColumn("fb", text.normalize(F.col("name_b"), stopwords=False))
-    scored = near.select("src_id", "tgt_id", text.ratio("a", "b").alias("name_sim"), text.swap_ratio("fa", "fb").alias("name_sim_sw"), "dist_m")
+    scored = spread(near).select("src_id", "tgt_id", text.ratio("a", "b").alias("name_sim"), text.swap_ratio("fa", "fb").alias("name_sim_sw"), "dist_m")
     return scored.where(F.col("name_sim_sw") > least)
 
 
@@ -74,17 +74,35 @@ def assign(edges: DataFrame, score: Column | str = "score") -> DataFrame:
     return (left if taken is None else taken).drop("__s")
 
 
+def _scored(src: DataFrame, tgt: DataFrame, km: float, least: float, swap: bool) -> DataFrame:
+    """Pairs within km whose one similarity that is asked for is above ``least``; Python sees only those whose lengths allow it."""
+    keep = not swap
+    a = src.select("src_id", text.normalize(F.col("name"), stopwords=keep).alias("a"))
+    b = tgt.select("tgt_id", text.normalize(F.col("name"), stopwords=keep).alias("b"))
+    near = radius_join(src, tgt, km).join(a, "src_id").join(b, "tgt_id")
+    if not swap:
+        near = near.where(text.ratio_bound(F.col("a"), F.col("b")) > least)
+    return spread(near).select("src_id", "tgt_id", "dist_m", text.similarity_above(least, swap)("a", "b").alias("score")).where(F.col("score") > least)
+
+
 def cascade(src: DataFrame, tgt: DataFrame, passes=CASCADE) -> DataFrame:
-    """(src_id, tgt_id, score, step): passes from strict in distance to strict in name; what matched is out of the later ones."""
+    """(src_id, tgt_id, score, step): passes from strict in distance to strict in name; what matched is out of the later ones.
+
+    The pairs of the widest pass are found and compared once; a pass takes its part of them.
+    """
+    edges: dict[bool, DataFrame] = {}
+    for swap in {p[3] for p in passes}:
+        own = [p for p in passes if p[3] == swap]
+        edges[swap] = checkpoint(_scored(src, tgt, max(p[0] for p in own), min(p[1] for p in own), swap))
     done = None
     for step, (km, least, only, swap) in enumerate(passes):
-        a = src if done is None else src.join(done.select("src_id"), "src_id", "left_anti")
-        b = tgt if done is None else tgt.join(done.select("tgt_id"), "tgt_id", "left_anti")
-        edges = candidates(a, b, km, 0.0).withColumn("score", F.col("name_sim_sw" if swap else "name_sim")).where(F.col("score") > least)
+        left = edges[swap].where((F.col("dist_m") <= km * 1000) & (F.col("score") > least))
+        if done is not None:
+            left = left.join(done.select("src_id"), "src_id", "left_anti").join(done.select("tgt_id"), "tgt_id", "left_anti")
         if only:
-            edges = edges.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("src_id"))).where("n = 1").drop("n")
-        found = assign(edges).select("src_id", "tgt_id", "score", F.lit(step).alias("step"))
-        done = checkpoint(found if done is None else done.unionByName(found))
+            left = left.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("src_id"))).where("n = 1").drop("n")
+        found = assign(left).select("src_id", "tgt_id", "score", F.lit(step).alias("step"))
+        done = found if done is None else done.unionByName(found)
     return done
 
 

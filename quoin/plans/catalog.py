@@ -349,7 +349,7 @@ def blend_fusion(spark, d):
     return got.where("k <= 5").select("qid", "id", _r("score", 5).alias("score"))
 
 
-@query(f"with {_LISTS}, f as (select qid, list_id, list_reduce(list_prepend(0.0, list(d order by d)), lambda a, x: case when x > a then 1.5 * x else a end) as def from w group by qid, list_id), i as (select distinct qid, id from w), s as (select i.qid, i.id, sum(coalesce(w.d, f.def)) as score from i join f on f.qid = i.qid left join w on w.qid = i.qid and w.list_id = f.list_id and w.id = i.id group by i.qid, i.id), r as (select *, row_number() over (partition by qid order by round(score, 9), id) as rank from s) select qid, id, round(score, 5) as score from r where rank <= 5")
+@query(f"with {_LISTS}, f as (select qid, list_id, list_reduce(list_prepend(0.0, list(d order by d)), lambda a, x: case when x > a then 1.5 * x else a end) as def from w group by qid, list_id), o as (select w.qid, w.id, sum(w.d - f.def) as diff from w join f on w.qid = f.qid and w.list_id = f.list_id group by w.qid, w.id), t as (select qid, sum(def) as tot from f group by qid), s as (select o.qid, o.id, o.diff + t.tot as score from o join t on o.qid = t.qid), r as (select *, row_number() over (partition by qid order by round(score, 9), id) as rank from s) select qid, id, round(score, 5) as score from r where rank <= 5")
 def ensemble_fusion(spark, d):
     got = fusion.ensembling(_lists(spark, d), {"l2": 0.4, "cos": 0.6}, 8).withColumn("k", F.row_number().over(Window.partitionBy("qid").orderBy(F.round("score", 9), "id")))
     return got.where("k <= 5").select("qid", "id", _r("score", 5).alias("score"))
