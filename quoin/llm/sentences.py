@@ -32,18 +32,20 @@ END = r"[.!?…。！？।؟‼⁇｡．]"
 OPEN = r"[\"“„«‹「『(\[（¿¡'‘”]"
 START = rf"(?:{OPEN}*[\p{{Lu}}\p{{Lt}}\p{{N}}]|{OPEN}*[\p{{Lo}}]|[¿¡])"
 
+#: Abbreviations that only are some before a number; elsewhere they can be words.
+BEFORE_NUMBER = "no nos ok n nr ext núm nº max min máx mín"
 # Abbreviations after which a sentence goes on, by language.
 ABBREVIATIONS = {
     "latin": {
-        "en": "mr mrs ms dr st prof no nos approx ext p pp vs e.g i.e fig jr",
-        "de": "hr hrn fr nr str ca bzw z.b d.h u.a dr prof zzgl inkl tel",
+        "en": "mr mrs ms dr st prof approx p pp vs e.g i.e fig jr",
+        "de": "hr hrn fr str ca bzw z.b d.h u.a dr prof zzgl inkl tel",
         "fr": "mm mme mlle cf env av bd p.ex",
-        "es": "sr sra srta dr dra avda núm máx mín aprox pág",
-        "it": "sig sigg dott dott.ssa p.zza n ca max min",
-        "pt": "sr sra dr dra av aprox nº",
-        "pl": "ul ok np p dr pl al",
+        "es": "sr sra srta dr dra avda aprox pág",
+        "it": "sig sigg dott dott.ssa p.zza ca",
+        "pt": "sr sra dr dra av aprox",
+        "pl": "ul np p dr pl al",
         "sv": "t.ex bl.a ca kl",
-        "tr": "cad no örn sok dr yakl",
+        "tr": "cad örn sok dr yakl",
     },
     "cyrillic": {"ru": "ул д напр ок г-н г-жа стр кв им т.е т.к"},
     "greek": {"el": "κ κα π.χ περ σελ αρ οδ"},
@@ -76,6 +78,7 @@ LANGUAGE = {
     script: [_rule(False, rf"(?<![\p{{L}}\p{{M}}])(?i:{_words(' '.join(by.values()))})\.", r"\s*\S")] for script, by in ABBREVIATIONS.items()
 }
 LANGUAGE["latin"] += [
+    _rule(False, rf"(?<![\p{{L}}])(?i:{_words(BEFORE_NUMBER)})\.", r"\s*\p{N}"),
     _rule(False, r"(?<![\p{L}])[zdu]\.", r"\s?(?:[BhaÄÜ]\b|ä\b|U\b)"),
     # German ordinals before a noun.
     _rule(False, r"\b(?:[AaIi]m|[Vv]om|[Zz]um|[Dd](?:er|en|em|ie|as)|[Bb]is|[Ss]eit dem)\s+\p{N}{1,2}\.", r"\s+\p{L}"),
