@@ -65,6 +65,8 @@ def _rule(breaks: bool, before: str, after: str) -> tuple:
 
 #: Exceptions of every language.
 NO_BREAK = [
+    # A sentence that begins with a year, the space before it lost.
+    _rule(True, r"\p{L}{3}\.", r"\p{N}{4}\s\p{L}"),
     _rule(False, r"\p{N}[.．]", r"\p{N}"),
     _rule(False, r"[\p{L}\p{N}/@]\.", r"[\p{Ll}\p{N}]"),
     _rule(False, END, r"[,;:)\]»”’]|\s+[,;:)]"),
@@ -94,7 +96,7 @@ BREAK = [
     _rule(True, r"[!?؟…]", r"\s*[\p{Lo}]"),
     _rule(True, rf"{END}", rf"\s+(?:{START}|[-–—*•€$£<&={{#]|{EMOJI})"),
     _rule(True, r"[\p{Ll}\p{Lo}\p{M}\p{N}\)%²€]{2}[.!?…؟]+", rf"(?:{OPEN}*\p{{Lu}}|{OPEN}*\p{{Lo}}|[¿¡«“„「(])"),
-    _rule(True, r"[!?…]", rf"(?:{OPEN}*\p{{Lu}}|[¿¡«“„「(])"),
+    _rule(True, r"[!?…]", rf"(?:{OPEN}*\p{{Lu}}|[¿¡«“„「(]|\p{{N}})"),
     _rule(True, rf"{END}", r"\s+[^\p{L}\p{N}\s,;:)\]»]"),
 ]
 #: In lines without capitals a small letter can begin a sentence.
