@@ -59,8 +59,8 @@ def ratio_of(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio() if a and b else 0.0
 
 
-def swap_ratio_of(a: str, b: str) -> float:
-    """Best ratio of the sorted tokens, where the longer name may leave tokens out."""
+def swap_ratio_of(a: str, b: str, least: float = 0.0) -> float:
+    """Best ratio of the sorted tokens, where the longer name may leave tokens out; anything up to ``least`` may come out as that."""
     x, y = sorted(a.split()), b.split()
     if len(x) == len(y):
         return ratio_of(" ".join(x), " ".join(sorted(y)))
@@ -68,8 +68,15 @@ def swap_ratio_of(a: str, b: str) -> float:
     if not x or len(y) > SWAP_LIMIT:
         return ratio_of(" ".join(x), " ".join(y))
     sizes = {len(x), len(x) + 1} | ({len(x) - 1} if len(x) > 1 else set())
-    short = " ".join(x)
-    return max(ratio_of(short, " ".join(sorted(c))) for n in sizes if n <= len(y) for c in combinations(y, n))
+    short, best = " ".join(x), least
+    have = Counter(short)
+    for n in sizes:
+        for c in combinations(y, n):
+            long = " ".join(c)
+            # Only what shares enough characters to be better is compared.
+            if 2 * (have & Counter(long)).total() > best * (len(short) + len(long)):
+                best = max(best, ratio_of(short, long))
+    return best
 
 
 @F.pandas_udf(T.DoubleType())
@@ -100,7 +107,7 @@ def similarity_above(least: float, swap: bool = False):
             x, y = x or "", y or ""
             m = _shared(x, y)
             top = (2 * m / (min(len(x), len(y)) + m) if swap else 2 * m / (len(x) + len(y))) if m else 0.0
-            out.append(0.0 if top <= least else swap_ratio_of(x, y) if swap else ratio_of(x, y))
+            out.append(0.0 if top <= least else swap_ratio_of(x, y, least) if swap else ratio_of(x, y))
         return pd.Series(out, dtype="float64")
 
     return similarity

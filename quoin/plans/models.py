@@ -19,9 +19,9 @@ FEATURES = ["name_sim", "name_sim_sw", "dist_m", "included"]
 
 
 def features(cands: DataFrame, src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Candidates with containment of names and the chains of both, blank for missing ones."""
-    a = src.select("src_id", F.col("name").alias("na"), F.coalesce("chain", F.lit("")).alias("chain_a"))
-    b = tgt.select("tgt_id", F.col("name").alias("nb"), F.coalesce("chain", F.lit("")).alias("chain_b"))
+    """Candidates with containment of names and the chains of both, none for missing and blank ones."""
+    a = src.select("src_id", F.col("name").alias("na"), F.coalesce(F.nullif(F.trim("chain"), F.lit("")), F.lit("none")).alias("chain_a"))
+    b = tgt.select("tgt_id", F.col("name").alias("nb"), F.coalesce(F.nullif(F.trim("chain"), F.lit("")), F.lit("none")).alias("chain_b"))
     got = cands.join(a, "src_id").join(b, "tgt_id")
     return got.withColumn("included", text.included(text.normalize(F.col("na")), text.normalize(F.col("nb"))).cast("double")).drop("na", "nb")
 

@@ -55,7 +55,7 @@ def write_vectors(df: DataFrame, folder: str, vec: str = "vec", kind: str = "fve
 
 def read_commented_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON value per file, with // comment lines and commas before a closing brace allowed; a bad file gives null."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     clean = F.regexp_replace(F.regexp_replace("value", r"(?m)^\s*//.*$", ""), r",(\s*[}\]])", "$1")
     return text.select(F.from_json(clean, schema).alias("value"))
 
