@@ -52,8 +52,8 @@ def candidates(src: DataFrame, tgt: DataFrame, km: float, least: float, stopword
         local = F.col("words")
     near = near.withColumn("a", text.normalize(F.col("name_a"), local)).withColumn("b", text.normalize(F.col("name_b"), local))
     near = near.withColumn("fa", text.normalize(F.col("name_a"), stopwords=False)).withColumn("fb", text.normalize(F.col("name_b"), stopwords=False))
-    scored = spread(near).select("src_id", "tgt_id", text.ratio("a", "b").alias("name_sim"), text.swap_ratio("fa", "fb").alias("name_sim_sw"), "dist_m")
-    return scored.where(F.col("name_sim_sw") > least)
+    kept = spread(near).withColumn("name_sim_sw", text.similarity_above(least, True)("fa", "fb")).where(F.col("name_sim_sw") > least)
+    return kept.select("src_id", "tgt_id", text.ratio("a", "b").alias("name_sim"), "name_sim_sw", "dist_m")
 
 
 def assign(edges: DataFrame, score: Column | str = "score") -> DataFrame:
