@@ -8,5 +8,6 @@ from pyspark.sql import functions as F
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "30 minutes") -> DataFrame:
     """(start, event_type, n, total) per tumbling window of events(ts, event_type, value); works on streams and tables."""
-    src = events.withWatermark("ts", late) if events.isStreaming else events
+    # A watermark needs an instant; a time without a zone is taken in the session's.
+    src = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
     return src.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")

@@ -138,7 +138,7 @@ def test_sources_round_trip(spark, tmp_path):
 def test_stream_counts_equal_batch(spark, tmp_path):
     from quoin.streaming.windows import windowed_counts
 
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("ts", "event_type", "value")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     events.write.parquet(str(tmp_path / "in"))
     q = windowed_counts(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))).writeStream.outputMode("complete").format("memory").queryName("counts").start()
     q.processAllAvailable()
