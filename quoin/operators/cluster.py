@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quoin.session import checkpoint
+
 Centroids = np.ndarray
 
 
@@ -191,18 +193,63 @@ def fisher_vector(x: np.ndarray, w: np.ndarray, mu: np.ndarray, sigma: np.ndarra
     return np.concatenate([gw, gm.ravel(), gs.ravel()])
 
 
+def _squares(df: DataFrame) -> DataFrame:
+    """(qid, id, dist): squared distance of each row's ``qvec`` and ``vec``, never of a vector to itself."""
+    dist = F.aggregate(F.zip_with(F.col("vec").cast("array<double>"), F.col("qvec").cast("array<double>"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    return df.where("id <> qid").select("qid", "id", dist.alias("dist"))
+
+
+def _open_cells(df: DataFrame, centroids: Centroids, radius: np.ndarray) -> DataFrame:
+    """df(qid, qvec, word, reach) with ``also``: the other cells that can hold a vector within ``reach`` of the query.
+
+    A cell is left out only where a bound on its distance says so: that of the ball round its centroid, or that of the
+    plane halfway to the query's own centroid, which no vector of the cell lies beyond.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((np.asarray(centroids, np.float64), radius))
+
+    @F.pandas_udf("array<int>")
+    def cells(vec: pd.Series, word: pd.Series, reach: pd.Series) -> pd.Series:
+        c, r = shared.value
+        out = []
+        for v, w, most in zip(vec, word, reach):
+            d = np.sqrt(((np.asarray(v, np.float64) - c) ** 2).sum(1))
+            between = np.sqrt(((c - c[w]) ** 2).sum(1))
+            plane = np.where(between > 0, (d * d - d[w] * d[w]) / np.where(between > 0, 2 * between, 1), 0.0)
+            can = (np.maximum(d - r, plane) <= most * (1 + 1e-9) + 1e-9) & (r >= 0)
+            can[w] = False
+            out.append(np.flatnonzero(can).astype(np.int32))
+        return pd.Series(out, dtype=object)
+
+    return df.withColumn("also", cells("qvec", "word", "reach"))
+
+
 def cell_neighbours(df: DataFrame, queries: DataFrame, k: int, tables: int = 3, cells: int = 16) -> DataFrame:
-    """Approximate k-NN by several k-means partitions: exact within equal cells, merged over the tables, each id once."""
-    found = None
-    base = df.select("id", "vec")
+    """Exact k-NN by k-means partitions: (qid, id, dist, rank), squared distances, ties by id.
+
+    A query first searches its own cell of each table; the k-th distance found bounds the search of the first table's
+    other cells, of which only those go unsearched that can hold nothing nearer. Vectors without any structure
+    rule out few cells, so the work on them is that of all pairs.
+    """
+    found = first = None
+    base = df.select("id", "vec").where(F.col("vec").isNotNull())
+    asked = queries.select("id", "vec").where(F.col("vec").isNotNull())
     for t in range(tables):
-        start = np.array([r["vec"] for r in base.where(F.col("vec").isNotNull()).orderBy(F.xxhash64("id", F.lit(t))).limit(cells).collect()], np.float64)
+        start = np.array([r["vec"] for r in base.orderBy(F.xxhash64("id", F.lit(t))).limit(cells).collect()], np.float64)
         c = lloyd(base, start, 2)
         a = nearest_word(base, c).select(F.col("word"), F.col("id"), F.col("vec"))
-        b = nearest_word(queries.select("id", "vec"), c).select(F.col("word"), F.col("id").alias("qid"), F.col("vec").alias("qvec"))
-        near = b.join(a, "word").where("id <> qid")
-        dist = F.aggregate(F.zip_with(F.col("vec").cast("array<double>"), F.col("qvec").cast("array<double>"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-        part = near.select("qid", "id", dist.alias("dist"))
+        b = nearest_word(asked, c).select(F.col("word"), F.col("id").alias("qid"), F.col("vec").alias("qvec"))
+        part = _squares(b.join(a, "word"))
         found = part if found is None else found.unionByName(part)
-    merged = found.groupBy("qid", "id").agg(F.min("dist").alias("dist"))
-    return merged.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "id"))).where(F.col("rank") <= k)
+        first = (c, a, b) if first is None else first
+    best = Window.partitionBy("qid").orderBy("dist", "id")
+    found = checkpoint(found.groupBy("qid", "id").agg(F.min("dist").alias("dist")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
+    c, a, b = first
+    radius = np.full(len(c), -1.0)
+    at = F.pandas_udf(lambda word, vec: pd.Series([float(((np.asarray(v, np.float64) - c[w]) ** 2).sum()) for w, v in zip(word, vec)], dtype="float64"), "double")
+    for r in a.select("word", at("word", "vec").alias("x")).groupBy("word").agg(F.max("x").alias("x")).collect():
+        radius[r["word"]] = np.sqrt(r["x"])
+    reach = found.where(F.col("rank") == k).select("qid", F.sqrt("dist").alias("reach"))
+    open_ = _open_cells(b.join(reach, "qid", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf")))), c, radius)
+    rest = _squares(open_.select("qid", "qvec", F.explode("also").alias("word")).join(a, "word"))
+    merged = found.drop("rank").unionByName(rest).groupBy("qid", "id").agg(F.min("dist").alias("dist"))
+    return merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

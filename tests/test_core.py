@@ -3,12 +3,14 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quoin.functions import geo, text
 from quoin.functions import vectors as V
-from quoin.operators import fusion, images, matching, nested, regions, scoring, search
+from quoin.operators import cluster, fusion, images, matching, nested, regions, scoring, search
+from quoin.plans import catalog
 from quoin.sources import io
 
 
@@ -146,3 +148,22 @@ def test_stream_counts_equal_batch(spark, tmp_path):
     assert spark.table("counts").groupBy().sum("n").first()[0] == events.count()
     batch = {(r["start"], r["event_type"], r["n"]) for r in windowed_counts(events).collect()}
     assert {(r["start"], r["event_type"], r["n"]) for r in spark.table("counts").collect()} == batch
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_cell_neighbours_equal_all_pairs(spark, sf):
+    d = f"/root/testdata/{sf}"
+    e = catalog._emb(spark, d)
+    want = {(r["qid"], r["id"]) for r in search.knn(e, e.where("id % 20 = 0"), 5, "l2sq", exclude_self=True).collect()}
+    got = {(r["qid"], r["id"]) for r in catalog.cell_neighbours(spark, d).collect()}
+    assert len(want) >= 100 and got == want  # recall 1
+
+
+def test_cell_neighbours_of_clusters_and_few_rows(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((30, 16)) * 4
+    rows = [(i, [float(x) for x in centres[i % 30] + 0.3 * rng.standard_normal(16)]) for i in range(400)] + [(900, None), (901, [50.0] * 16)]
+    for part in (rows, rows[:3]):
+        df = spark.createDataFrame(part, "id long, vec array<double>")
+        got = {(r["qid"], r["id"], r["rank"]) for r in cluster.cell_neighbours(df, df, 5).collect()}
+        assert got == {(r["qid"], r["id"], r["rank"]) for r in search.knn(df, df, 5, "l2sq", exclude_self=True).collect()}
