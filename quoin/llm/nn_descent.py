@@ -12,6 +12,9 @@ link; only the graph that came out of them is scored with the vectors themselves
 ``least`` is the lowest similarity of interest: links whose codes are further apart than such vectors' codes can
 be (by SLACK standard deviations) are dropped at once, so vectors without a near neighbour cost nothing in the
 rounds. Vectors of the very same numbers are one node of the graph and share its links.
+
+A node whose links fill its list may have lost nearer ones to the coarse codes. Such crowds (a node with a full list
+and all that links lead to from it) are searched exactly: all pairs of a crowd, in blocks of CROWD_BLOCK nodes.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ TABLES, WINDOW, AXES = 8, 10, 4
 CODE_WORDS = 2
 DEGREE, STOP, ROUNDS = 24, 0.005, 6
 SLACK = 4.0
+CROWD_BLOCK = 8192
 SEED = 7
 
 
@@ -155,6 +159,67 @@ def descend(links: DataFrame, codes: DataFrame, most: int, degree: int = DEGREE,
     return graph.select("a", "b", "d")
 
 
+def components(links: DataFrame) -> DataFrame:
+    """links(a, b) -> (id, part): the smallest id that links lead to from each, by large and small stars in turn."""
+    both = lambda df: df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges, before = checkpoint(links.where("a <> b").select("a", "b").distinct()), None
+    while True:
+        for large in (True, False):
+            ways = both(edges)
+            ways = ways if large else ways.where("b < a")
+            least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+            ways = ways.where("b > a") if large else ways.unionByName(ways.select("a", F.col("a").alias("b")).distinct())
+            edges = ways.join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        edges = checkpoint(edges)
+        now = tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38, 0)")), F.lit(0))).first())
+        if now == before:
+            break
+        before = now
+    return edges.select(F.col("b").alias("id"), F.col("a").alias("part")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("part")).distinct())
+
+
+def finish_crowds(links: DataFrame, vectors: DataFrame, dim: int, k: int, least: float, degree: int = DEGREE) -> DataFrame | None:
+    """links(a, b) of NN-descent -> (a, b): the k nearest of every node of a crowd, exactly; None if there is no crowd."""
+    each = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    full = checkpoint(each.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= degree).select("a"))
+    if full.isEmpty():
+        return None
+    crowd = components(each.join(full, "a", "left_semi"))
+    # Nodes with few links of their own that lead into a crowd are of it too.
+    rim = each.join(crowd.withColumnRenamed("id", "b"), "b").join(crowd.select(F.col("id").alias("a")), "a", "left_anti").select(F.col("a").alias("id"), "part").distinct()
+    crowd = checkpoint(crowd.unionByName(rim))
+    blocks = crowd.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).cast("int").alias("blocks"))
+    at = crowd.join(blocks, "part").withColumn("block", F.pmod(F.xxhash64("id", "part"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    at = at.select("id", "part", "block", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    rows = at.join(vectors.select("id", "features"), "id").select("part", "i", "j", "block", "id", "features")
+
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf["block"] == pdf["i"].iloc[0]
+        left = pdf[one]
+        right = left if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf[~one]
+        ids, u = [x["id"].to_numpy() for x in (left, right)], [_unit(x["features"], dim) for x in (left, right)]
+        out: list[pd.DataFrame] = []
+        for x, y in ((0, 1), (1, 0)) if right is not left else ((0, 1),):
+            for lo in range(0, len(ids[x]), 512):
+                s = u[x][lo : lo + 512] @ u[y].T
+                s[ids[x][lo : lo + 512, None] == ids[y][None, :]] = -2
+                # The k best and those as good as the last of them up to rounding, which the exact cosine and the ids tell apart.
+                top = min(k, s.shape[1])
+                last = np.partition(s, s.shape[1] - top, axis=1)[:, s.shape[1] - top] if top else np.empty(len(s))
+                r, c = np.nonzero(s >= np.maximum(last, least)[:, None] - 1e-12) if top else (np.empty(0, int),) * 2
+                ok = s[r, c] > -2
+                r, c = r[ok], c[ok]
+                got = pd.DataFrame({"a": ids[x][lo : lo + 512][r], "b": ids[y][c], "s": s[r, c].round(12)})
+                got = got.sort_values(["a", "s", "b"], ascending=[True, False, True])
+                out.append(got.groupby("a").head(2 * k))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "s": []}).astype({"a": "int64", "b": "int64"})
+
+    met = rows.groupBy("part", "i", "j").applyInPandas(nearest, "a long, b long, s double")
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b"))
+    return met.distinct().withColumn("rank", rank).where(F.col("rank") <= 2 * k).select("a", "b")
+
+
 def _cosine(x: pd.Series, y: pd.Series) -> pd.Series:
     """Cosine in double precision of the numbers as stored."""
     if not len(x):
@@ -176,6 +241,9 @@ def knn_graph(vectors: DataFrame, dim: int, k: int = 5, least: float = -1.0, see
     alone = nodes.join(group.select(F.col("node").alias("id")), "id", "left_semi")
     most = reach(least)
     pairs = descend(seed_links(alone, most), alone, most).select("a", "b")
+    exact = finish_crowds(pairs, vectors, dim, k, least)
+    if exact is not None:
+        pairs = pairs.unionByName(exact.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     vec = vectors.select("id", F.col("features").alias("vec"))
     cosine = F.pandas_udf(_cosine, T.DoubleType())
     scored = pairs.join(vec.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(vec.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")

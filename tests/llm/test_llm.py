@@ -141,6 +141,34 @@ def test_graph_equals_brute_force(spark):
     assert len(best) == 20 and (best.similarity > 0.999).all()
 
 
+def test_crowds_of_near_copies_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    vecs = []
+    for n, noise in ((400, 0.12), (150, 0.05), (60, 0.15), (8, 0.1)):
+        base = rng.standard_normal(96)
+        vecs += [base + noise * rng.standard_normal(96) for _ in range(n)]
+    m = np.array(vecs).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, features array<float>")
+    got = nn_descent.knn_graph(df, 96, 5, 0.95)
+    m = m.astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    s = m @ m.T
+    np.fill_diagonal(s, -2)
+    want = {(i, int(j)) for i in range(len(m)) for j in np.argsort(-s[i])[:5] if s[i, j] >= 0.95}
+    assert len(want) > 2800 and {(r["id"], r["neighbour"]) for r in got.collect()} == want
+
+
+def test_crowds_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "CROWD_BLOCK", 50)
+    test_crowds_of_near_copies_equal_brute_force(spark)
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (9, 8), (7, 9), (20, 21)] + [(i, i + 1) for i in range(100, 140)]
+    got = {r["id"]: r["part"] for r in nn_descent.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20} | {i: 100 for i in range(100, 141)}
+
+
 def got_df(spark, pdf):
     return spark.createDataFrame(pdf[["id", "neighbour"]])
 
