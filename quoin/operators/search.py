@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Queries held by a task at a time.
 BLOCK = 2048
+#: Items whose votes a task counts at a time.
+ITEMS = 8192
 
 
 def _distances(kind: str, q: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -120,6 +122,50 @@ def vote_join(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def vote_blocks(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """vote_join for codes that very many items hold: index(id, codes array), queries(qid, codes array), ids in any number of rows.
+
+    Items and queries are cut into blocks of ITEMS and BLOCK, and a task counts the votes of one pair of blocks, of
+    which only the k best items of each query leave it; no pair of a query and an item is ever a row.
+    """
+    whole = lambda df, name: df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("long").alias("id")).agg(F.flatten(F.collect_list("codes")).alias("codes"))
+    items, asked = whole(index, "id").withColumn("codes", F.array_distinct("codes")), whole(queries, "qid")
+    n_items, n_asked = (max(1, -(-df.select(c).distinct().count() // size)) for df, c, size in ((index, "id", ITEMS), (queries, "qid", BLOCK)))
+    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = items.select(F.lit(True).alias("item"), "id", "codes", place(n_items).alias("x"), every(n_asked).alias("y"))
+    rows = rows.unionByName(asked.select(F.lit(False).alias("item"), "id", "codes", place(n_asked).alias("y"), every(n_items).alias("x")))
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        held, ask = pdf[pdf["item"]].sort_values("id"), pdf[~pdf["item"]]
+        out = {"qid": [np.empty(0, np.int64)], "id": [np.empty(0, np.int64)], "votes": [np.empty(0, np.int64)], "n": [np.empty(0, np.int64)]}
+        if len(held) and len(ask):
+            ids = held["id"].to_numpy()
+            sizes = held["codes"].map(len).to_numpy()
+            number, codes = pd.factorize(np.concatenate(held["codes"].to_numpy()))
+            order = np.argsort(number, kind="stable")
+            at = np.repeat(np.arange(len(ids)), sizes)[order]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(number[number >= 0], minlength=len(codes)))])
+            skip = int((number < 0).sum())  # nulls sort first
+            known = {c: i for i, c in enumerate(codes)}
+            for qid, mine in zip(ask["id"], ask["codes"]):
+                lists = [at[skip + ends[i] : skip + ends[i + 1]] for c in mine if (i := known.get(c)) is not None]
+                if not lists:
+                    continue
+                votes = np.bincount(np.concatenate(lists), minlength=len(ids))
+                last = max(1, np.partition(votes, len(ids) - k)[len(ids) - k] if len(ids) > k else 1)
+                top = np.flatnonzero(votes > last)
+                top = np.concatenate([top, np.flatnonzero(votes == last)[: max(0, k - len(top))]]) if len(ids) > k else np.flatnonzero(votes)
+                for name, v in (("qid", np.full(len(top), qid)), ("id", ids[top]), ("votes", votes[top]), ("n", np.full(len(top), len(mine)))):
+                    out[name].append(v)
+        return pd.DataFrame({name: np.concatenate(v) for name, v in out.items()})
+
+    best = rows.groupBy("x", "y").applyInPandas(count, "qid long, id long, votes long, n long")
+    scored = best.select("qid", "id", (1 - F.col("votes") / F.col("n")).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("score", "id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def top_codes(vec, dims: int = 5):
     """Symbolic code of a vector: its largest elements' places, largest first, with a dash between."""
     ranked = F.slice(F.array_sort(F.transform(vec.cast("array<double>"), lambda x, i: F.struct((-x).alias("x"), i.alias("i")))), 1, dims)

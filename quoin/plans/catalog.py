@@ -333,6 +333,16 @@ def lsh_vote(spark, d):
     return search.vote_join(words, words.where(F.col("id") % 20 == 0).select(F.col("id").alias("qid"), "code")).withColumn("score", _r("score"))
 
 
+@query("""with w as (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+')) as code from documents where text is not null), i as (select * from w where code <> ''),
+ q as (select doc_id as qid, code from i where doc_id % 20 = 0), s as (select qid, count(*) as n from q group by qid), v as (select q.qid, i.doc_id as id, count(*) as votes from q join i on q.code = i.code group by 1, 2),
+ r as (select v.qid, v.id, round(1 - votes / n, 6) as score, row_number() over (partition by v.qid order by 1 - votes / n, v.id) as rank from v join s on s.qid = v.qid) select qid, id, score, cast(rank as integer) as rank from r where rank <= 5""")
+def lsh_vote_all(spark, d):
+    """The vote join over all documents and all their words, in whatever language, the common ones included."""
+    words = F.array_distinct(F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+"), ""))
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("id"), words.alias("codes"))
+    return search.vote_blocks(docs, docs.where(F.col("id") % 20 == 0).select(F.col("id").alias("qid"), "codes")).withColumn("score", _r("score"))
+
+
 _LISTS = f"{_EMB}, p as (select q.id as qid, b.id as id, list_distance(q.v, b.v) as d1, 1 - list_cosine_similarity(q.v, b.v) as d2 from e q join e b on q.id <> b.id where q.id % 20 = 0), l as (select qid, 'l2' as list_id, id, d1 as d from (select *, row_number() over (partition by qid order by round(d1, 9), id) as k from p) where k <= 20 union all select qid, 'cos', id, d2 from (select *, row_number() over (partition by qid order by round(d2, 9), id) as k from p) where k <= 20), w as (select qid, list_id, id, d * case list_id when 'l2' then 0.4 else 0.6 end as d from l)"
 
 

@@ -167,3 +167,19 @@ def test_cell_neighbours_of_clusters_and_few_rows(spark):
         df = spark.createDataFrame(part, "id long, vec array<double>")
         got = {(r["qid"], r["id"], r["rank"]) for r in cluster.cell_neighbours(df, df, 5).collect()}
         assert got == {(r["qid"], r["id"], r["rank"]) for r in search.knn(df, df, 5, "l2sq", exclude_self=True).collect()}
+
+
+def test_vote_blocks_equal_the_join_and_cover_all_documents(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, [rng.choice("abcdefgh") + str(int(rng.paretovariate(0.7)) % 30) for _ in range(rng.randint(0, 9))]) for i in range(300)] + [(7, ["a1", "z"]), (400, None), (401, ["only"])]
+    df = spark.createDataFrame(rows, "id long, codes array<string>")
+    flat = df.select("id", F.explode("codes").alias("code"))
+    want = {(r["qid"], r["id"], round(r["score"], 9), r["rank"]) for r in search.vote_join(flat, flat.where("id % 3 = 0").withColumnRenamed("id", "qid")).collect()}
+    for items, block in ((8192, 2048), (40, 25), (3, 7)):
+        monkeypatch.setattr(search, "ITEMS", items)
+        monkeypatch.setattr(search, "BLOCK", block)
+        got = search.vote_blocks(df, df.where("id % 3 = 0").withColumnRenamed("id", "qid"))
+        assert {(r["qid"], r["id"], round(r["score"], 9), r["rank"]) for r in got.collect()} == want
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id % 20 = 0 AND text rlike '[a-z]'")
+    asked = {r["qid"] for r in catalog.QUERIES["lsh_vote_all"](spark, "/root/testdata/sf0.001").collect()}
+    assert {r["doc_id"] for r in docs.collect()} <= asked and docs.where("lang <> 'en' OR lang IS NULL").count()
