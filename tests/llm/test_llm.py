@@ -52,6 +52,16 @@ def test_places_are_matched(spark):
     assert entity_match.match(src.limit(0), tgt, _towns(spark), labels).count() == 0
 
 
+def test_places_without_a_position_are_matched_anywhere(spark):
+    src = spark.createDataFrame([(1, "a", 0.0, 0.0, "Suites Harterham", "x"), (2, "b", 10.0, 20.0, "Apartments Oakingford", None), (3, "c", None, None, "Oakamere Manor", "y"), (4, "d", 50.0123, 7.0123, "Gasthof Eismoos", None), (7, "g", None, None, "Zephstad Sol Rauhtal Convention Center", None), (8, "h", None, None, "Hotel Zwiebach", None), (9, "i", None, None, "The Inn", None)], SOURCE)
+    tgt = spark.createDataFrame([(100, 30.0123, 40.0123, "Harterham Suites", "x", None), (101, None, None, "Apartments, Oakingford", None, 1), (102, 31.0123, 41.0123, "Oakamere Maner", "y", 1), (103, 51.0123, 7.0123, "Gasthof Eismoos", None, None), (104, 32.0123, 3.0123, "Zephstad Sol Wälkirch Convention Center", None, 1), (105, 1.0123, 3.0123, "Hotel Zwiebach", None, None), (106, 61.0123, 3.0123, "Hotel Zwiebach", None, None), (107, 61.0123, 3.0123, "The Inn", None, None)], TARGET)
+    labels = spark.createDataFrame([], "leo_id string, bkg_id long, label int")
+    found = entity_match.match(src, tgt, _towns(spark), labels).where("confidence >= 0.5")
+    assert {(r["leo_id"], r["bkg_id"]) for r in found.collect()} == {("a", 100), ("b", 101), ("c", 102)}
+    more = src.unionByName(spark.createDataFrame([(5, "e", 30.0123, 40.0123, "Harterham Suites", "x"), (6, "f", 31.0123, 41.0123, "Suites Rauhtal", "x")], SOURCE))
+    assert {tuple(r) for r in name_variants.link_places(more, _towns(spark)).collect()} == {("a", "e")}
+
+
 def test_hamming_blocks_lose_no_pair():
     random.seed(1)
     for _ in range(300):
