@@ -62,6 +62,21 @@ def test_places_without_a_position_are_matched_anywhere(spark):
     assert {tuple(r) for r in name_variants.link_places(more, _towns(spark)).collect()} == {("a", "e")}
 
 
+def test_a_position_of_many_rows_of_one_place_is_no_placeholder(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    typed = lambda w: w[: (i := rng.randrange(len(w)))] + rng.choice("aeioulnrst") + w[i + 1 :]
+    one = [(10.0121, 20.0121, f"Hotel {typed('Schonbruckental')} {typed('Rauhenstein')}") for _ in range(300)]
+    many = [(30.0121, 40.0121, f"Hotel {word()} {word()}") for _ in range(120)] + [(None, 1.0, "x"), (10.0121, 20.0121, None)]
+    marked = entity_match.mark_placeholders(spark.createDataFrame(one + many, "lat double, lng double, name string")).groupBy("lat", "crowded").count().collect()
+    assert {(r["lat"], r["crowded"]): r["count"] for r in marked} == {(10.0121, False): 301, (30.0121, True): 120, (None, False): 1}
+    spelled = [(i, f"l{i}", 10.0121, 20.0121, "Hotel Schönbrück Rauhtal", None) for i in range(60)] + [(90, "v", 10.0121, 20.0121, "Hotel Schönbrück", None)]
+    found = entity_match.match(spark.createDataFrame(spelled, SOURCE), spark.createDataFrame([(100, 10.0121, 20.0121, "Hotel Schönbrück Eismoos", None, None)], TARGET), _towns(spark), spark.createDataFrame([], "leo_id string, bkg_id long, label int"))
+    few = entity_match.match(spark.createDataFrame(spelled[-2:], SOURCE), spark.createDataFrame([(100, 10.0121, 20.0121, "Hotel Schönbrück Eismoos", None, None)], TARGET), _towns(spark), spark.createDataFrame([], "leo_id string, bkg_id long, label int"))
+    of = lambda df: {r["confidence"] for r in df.where("leo_id = 'v'").collect()}
+    assert of(found) == of(few) and of(few)
+
+
 def test_hamming_blocks_lose_no_pair():
     random.seed(1)
     for _ in range(300):
