@@ -11,6 +11,7 @@ from functools import lru_cache
 NOISE = frozenset("the el la le les los las il lo der die das zum zur am im an a o os as and und och y et e i ve and spa wellness restaurant restaurante adults only new nuevo hotels".split())
 #: Kinds of houses: the same house is listed under several, so they weigh little.
 KINDS = frozenset("hotel hostel hostal apartments guesthouse inn lodge manor suites pension gasthof gastehaus landhaus schlosshotel ferienhof haus casa posada parador hacienda residence relais chateau logis auberge solar pousada quinta pensjonat zajazd dwor konak pansiyon butik stugor vardshus gard royal grand grande grosses altes neues gamla lilla stora eski buyuk kucuk novo nova old nuevo".split()) - {"old", "nova", "nuevo"}
+_LONG_KINDS = sorted(x for x in KINDS if len(x) > 4)
 SHORT = {
     "htl": "hotel", "hotell": "hotel", "hotelli": "hotel", "apts": "apartments", "appartements": "apartments", "apartment": "apartments", "gh": "guesthouse", "gasteh": "gastehaus",
     "pens": "pension", "pensionat": "pension", "ctr": "centre", "center": "centre", "cntr": "centre", "stn": "station", "sta": "station", "conv": "convention", "stes": "suites", "ste": "suites", "rsts": "resorts", "rst": "resorts",
@@ -52,9 +53,18 @@ def tokens(name: str | None) -> list[str]:
     return [t for t in out if not is_noise(t)] or out
 
 
+def within_one(a: str, b: str) -> bool:
+    """Whether one insertion, deletion, change or exchange of neighbours makes the one of the other."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    x, y = a[i:], b[i:]
+    return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[2:] == y[2:] and x[:2] == y[1::-1])
+
+
 @lru_cache(maxsize=200_000)
 def is_noise(t: str) -> bool:
-    return t in NOISE or (len(t) > 5 and any(banded_distance(t, x, 1) <= 1 for x in LONG_NOISE))
+    return t in NOISE or (len(t) > 5 and any(within_one(t, x) for x in LONG_NOISE))
 
 
 @lru_cache(maxsize=200_000)
@@ -130,14 +140,14 @@ def kind(t: str) -> str | None:
     """The kind of house a token names, one typing error allowed."""
     if t in KINDS:
         return t
-    return next((x for x in sorted(KINDS) if len(x) > 4 and abs(len(x) - len(t)) <= 1 and banded_distance(t, x, 1) <= 1), None)
+    return next((x for x in _LONG_KINDS if within_one(t, x)), None)
 
 
 @lru_cache(maxsize=200_000)
 def place(t: str) -> str | None:
     if t in PLACES:
         return PLACES[t]
-    return next((v for x, v in PLACES.items() if len(x) > 4 and abs(len(x) - len(t)) <= 1 and banded_distance(t, x, 1) <= 1), None)
+    return next((v for x, v in PLACES.items() if len(x) > 4 and within_one(t, x)), None)
 
 
 def weight(t: str, light: frozenset) -> float:

@@ -77,14 +77,24 @@ def test_a_position_of_many_rows_of_one_place_is_no_placeholder(spark):
     assert of(found) == of(few) and of(few)
 
 
-def test_hamming_blocks_lose_no_pair():
-    random.seed(1)
-    for _ in range(300):
-        a = random.getrandbits(128)
-        b = a
-        for i in random.sample(range(128), random.randint(0, 15)):
-            b ^= 1 << i
-        assert any((a >> (8 * i)) & 255 == (b >> (8 * i)) & 255 for i in range(16))
+def test_hamming_blocks_lose_no_pair(spark, monkeypatch):
+    """Against all pairs: in one area, split over keys, every pair from ``exact_from`` up is found, and none below DICE."""
+    monkeypatch.setattr(entity_match, "AREA_ROWS", 40)
+    rng = random.Random(1)
+    base = [["".join(rng.choices("aeinrst", k=rng.randint(2, 9))) for _ in range(rng.randint(1, 4))] for _ in range(40)]
+    typed = lambda w: w[: (i := rng.randrange(len(w)))] + rng.choice("aeinrst") + w[i + rng.randint(0, 1) :]
+    spelled = [[typed(w) if rng.random() < 0.4 else w for w in rng.choice(base)] for _ in range(400)]
+    code = [entity_match.code_of(x) for x in spelled]
+    rows = [("ab"[i % 2], i, c, n, u, ["g1"]) for i, (c, n, u) in enumerate(code)] + [("a", 1000, [0] * entity_match.WORDS, 0, 0, ["g1"]), ("b", 1001, [0] * entity_match.WORDS, 0, 0, None)]
+    got = {(r["a"], r["b"]): r["dice"] for r in entity_match.near_codes(spark.createDataFrame(rows, "side string, id long, code array<long>, n int, u int, areas array<string>")).collect()}
+    bits = [names.bits(names.qgrams(x), entity_match.CODE_BITS) for x in spelled]
+    for i in range(0, 400, 2):
+        for j in range(1, 400, 2):
+            dice = 2 * (bits[i] & bits[j]).bit_count() / (code[i][1] + code[j][1])
+            large = max(code[i], code[j], key=lambda c: c[1])
+            if dice >= entity_match.exact_from(large[1], large[2]):
+                assert (i, j) in got
+            assert ((i, j) not in got) or (dice >= entity_match.DICE and abs(got[i, j] - dice) < 1e-9)
 
 
 def test_variants_are_linked(spark):
