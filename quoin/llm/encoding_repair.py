@@ -34,6 +34,7 @@ SMOOTH, ALPHABET = 0.02, 4000
 #: A wildcard tries this many characters, the likeliest in its place.
 WILDCARD_WIDTH = 40
 ROUNDS = 3
+MEMO_LIMIT = 200_000
 
 SINGLE = ("cp1252", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "mac_roman", "cp437", "cp850", "cp1253", "cp1254", "cp874", "cp1256", "iso8859-5", "iso8859-7")
 MULTI = ("gb18030", "cp932", "euc_jp", "cp949", "big5")
@@ -252,6 +253,11 @@ class Model:
         self.memo[s] = now
         return now
 
+    def forget(self) -> None:
+        """Bound the store of tokens already repaired; it starts anew, which changes no result."""
+        if len(self.memo) > MEMO_LIMIT:
+            self.memo.clear()
+
     def margin(self, cand: str, utf8: bool) -> float:
         return MARGIN_UTF8 if utf8 else MARGIN if cand in self.words else MARGIN_UNKNOWN
 
@@ -338,7 +344,7 @@ def damaged_tokens(tokens: DataFrame, model: Model) -> DataFrame:
                 fixed = m.repair(t)
                 if lost or fixed != t:
                     rows.append((t, fixed))
-            m.memo.clear()
+            m.forget()
             yield pd.DataFrame(rows, columns=["t", "restored"])
 
     # Few bytes but much work: by bytes alone adaptive execution would make one task of it.
@@ -378,6 +384,6 @@ def restore_texts(values: DataFrame, model: Model) -> DataFrame:
         m = make()
         for s in batches:
             yield pd.Series([None if t is None else t if t.isascii() else "".join(x if x.isascii() else m.repair_whole(x) for x in cut.split(t)) for t in s], dtype=object)
-            m.memo.clear()
+            m.forget()
 
     return values.withColumn("restored", restored("text"))

@@ -78,6 +78,21 @@ def qgrams(toks: list[str]) -> set[str]:
     return {p[i : i + 2] for t in toks for p in (f"^{collapse(t)}$",) for i in range(len(p) - 1)}
 
 
+@lru_cache(maxsize=200_000)
+def token_bits(t: str, width: int) -> int:
+    """Bit vector of one token's q-grams; a name's is that of all its tokens together."""
+    return bits(qgrams([t]), width)
+
+
+@lru_cache(maxsize=200_000)
+def letters(t: str) -> int:
+    """The characters of a token as a set of bits: each edit takes at most one of them away."""
+    out = 0
+    for c in t:
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
 def bits(grams: set[str], width: int) -> int:
     """Bit vector of q-grams, one bit each."""
     out = 0
@@ -127,7 +142,11 @@ def token_similarity(a: str, b: str) -> float:
         return 1.0
     n = max(len(a), len(b))
     k = 1 if n <= 5 else 2 if n <= 9 else 3
-    d = min(banded_distance(a, b, k), banded_distance(collapse(a), collapse(b), k))
+    d = k + 1
+    for x, y in {(a, b), (collapse(a), collapse(b))}:
+        u, v = letters(x), letters(y)
+        if abs(len(x) - len(y)) <= k and (u & ~v).bit_count() <= k and (v & ~u).bit_count() <= k:
+            d = min(d, banded_distance(x, y, k))
     if d <= k:
         return 1 - d / n
     if min(len(a), len(b)) >= 4 and (a.startswith(b) or b.startswith(a)):
