@@ -1,7 +1,7 @@
 """Points in regions by crossing parity, and points near points built on it.
 
 A region is a ring of vertices. Its edges are cut into latitude strips and, within a strip, copied to the
-longitude tiles its bounding box touches, so that points and edges meet in an equi-join on (strip, tile).
+longitude tiles from the west end of the region to the edge's own east end, so that points and edges meet in an equi-join on (strip, tile).
 A ray runs from each point to the east; the crossings are summed per (point, region) and an odd number
 means inside. Points on an edge are found by an explicit test and count as inside, so a point on the
 border of two regions belongs to both.
@@ -22,6 +22,8 @@ EARTH_RADIUS_KM = 6371.0088
 STRIP_DEG = 0.02
 #: Beyond this latitude a circle may hold the pole, so its region is a full band of longitudes.
 POLAR_LAT = 89.0
+#: Rows of one position beyond this many are cut into parts.
+PART_ROWS = 2048
 
 
 def great_circle_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column, radius: float = EARTH_RADIUS_KM) -> Column:
@@ -71,8 +73,9 @@ def points_in_regions(points: DataFrame, regions: DataFrame, strip_deg: float =
     )
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     edge = edge.withColumn("strip", F.explode(F.sequence(_strip(low, strip_deg), _strip(high, strip_deg))))
-    first, last = _tile(F.col("x_lo"), F.col("strip"), strip_deg), _tile(F.col("x_hi"), F.col("strip"), strip_deg)
-    edge = edge.withColumn("tile", F.explode(F.sequence(first, last))).drop("x_lo", "x_hi")
+    # A ray to the east meets an edge only from the west of its own east end, and from within the region's box.
+    first, last = _tile(F.col("x_lo"), F.col("strip"), strip_deg), _tile(F.greatest("x1", "x2"), F.col("strip"), strip_deg)
+    edge = edge.where(F.greatest("x1", "x2") >= -180).withColumn("tile", F.explode(F.sequence(first, last))).drop("x_lo", "x_hi")
     pts = points.where(F.col("lat").isNotNull() & F.col("lng").isNotNull() & ~F.isnan("lat") & ~F.isnan("lng") & (F.abs("lat") <= 90) & (F.abs("lng") <= 180))
     pts = pts.select("pid", F.col("lat").alias("py"), F.col("lng").alias("px"), _strip(F.col("lat"), strip_deg).alias("strip"))
     pts = pts.withColumn("tile", _tile(F.col("px"), F.col("strip"), strip_deg))
@@ -105,13 +108,18 @@ def pairs_within(df: DataFrame, key: str, group: str, km: float) -> DataFrame:
     """
     rows = df.select(F.col(key).alias("k"), F.col(group).alias("g"), F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng"))
     rows = rows.where(has_position(F.col("lat"), F.col("lng"))).withColumn("p", F.struct((F.col("lat") + 0.0).alias("lat"), (F.col("lng") + 0.0).alias("lng")))
-    places = rows.select("p").distinct()
+    # Positions that very many rows share are cut into parts, and the parts of two such positions meet in a task each.
+    places = rows.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    crowded = places.where(F.col("n") > PART_ROWS).select("p", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"))
     regions = places.select(F.col("p").alias("rid"), circle_ring(F.col("p.lat"), F.col("p.lng"), km).alias("ring"))
     near = points_in_regions(places.select(F.col("p").alias("pid"), "p.lat", "p.lng"), regions).where(F.col("pid") <= F.col("rid"))
     near = near.where(great_circle_km(F.col("pid.lat"), F.col("pid.lng"), F.col("rid.lat"), F.col("rid.lng")) <= km)
-    a = rows.select(F.col("p").alias("pid"), F.col("k").alias("ka"), F.col("g").alias("ga"))
-    b = rows.select(F.col("p").alias("rid"), F.col("k").alias("kb"), F.col("g").alias("gb"))
-    both = near.join(a, "pid").join(b, "rid").where(~F.col("ga").eqNullSafe(F.col("gb")) & (F.col("ka") != F.col("kb")))
+    every = lambda df, p, i: df.join(crowded.withColumnRenamed("p", p), p, "left").withColumn(i, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    near = every(every(near, "pid", "i"), "rid", "j")
+    rows = rows.join(crowded, "p", "left").withColumn("part", F.pmod(F.xxhash64("k"), F.coalesce("parts", F.lit(1))).cast("int"))
+    a = rows.select(F.col("p").alias("pid"), F.col("part").alias("i"), F.col("k").alias("ka"), F.col("g").alias("ga"))
+    b = rows.select(F.col("p").alias("rid"), F.col("part").alias("j"), F.col("k").alias("kb"), F.col("g").alias("gb"))
+    both = near.join(a, ["pid", "i"]).join(b, ["rid", "j"]).where(~F.col("ga").eqNullSafe(F.col("gb")) & (F.col("ka") != F.col("kb")))
     # At one position every pair comes in both orders; between two positions it comes in one.
     both = both.where((F.col("pid") != F.col("rid")) | (F.col("ka") < F.col("kb")))
     return both.select(F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b")).distinct()

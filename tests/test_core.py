@@ -183,3 +183,28 @@ def test_vote_blocks_equal_the_join_and_cover_all_documents(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id % 20 = 0 AND text rlike '[a-z]'")
     asked = {r["qid"] for r in catalog.QUERIES["lsh_vote_all"](spark, "/root/testdata/sf0.001").collect()}
     assert {r["doc_id"] for r in docs.collect()} <= asked and docs.where("lang <> 'en' OR lang IS NULL").count()
+
+
+def test_a_position_of_very_many_rows_is_cut_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(regions, "PART_ROWS", 7)
+    rows = [(i, f"g{i % 3}", 10.0, 20.0) for i in range(40)] + [(100, "g0", 10.001, 20.0), (101, None, 10.0, 20.0), (102, "g1", 11.0, 20.0)]
+    got = {tuple(r) for r in regions.pairs_within(spark.createDataFrame(rows, "k long, g string, lat double, lng double"), "k", "g", 0.25).collect()}
+    want = {(x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and x[1] != y[1] and abs(x[2] - y[2]) < 0.002}
+    assert got == want
+
+
+def test_points_in_polygons_equal_ray_casting(spark):
+    rng = random.Random(3)
+    rings = {i: [(rng.uniform(-0.2, 0.2) + 0.1 * i, rng.uniform(-0.2, 0.2)) for _ in range(rng.randint(3, 9))] for i in range(6)}
+    pts = [(i, rng.uniform(-0.25, 0.25), rng.uniform(-0.3, 0.8)) for i in range(400)]
+
+    def inside(y, x, ring):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+        return odd
+
+    df = spark.createDataFrame([(k, [{"lng": x, "lat": y} for x, y in r]) for k, r in rings.items()], "rid int, ring array<struct<lng:double,lat:double>>")
+    got = {tuple(r) for r in regions.points_in_regions(spark.createDataFrame(pts, "pid int, lat double, lng double"), df).collect()}
+    assert got == {(i, k) for i, y, x in pts for k, r in rings.items() if inside(y, x, r)}
