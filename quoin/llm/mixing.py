@@ -8,9 +8,11 @@ part of one more.
 The documents of a source fall into blocks by a hash of their id. Which block goes to which output shard is drawn
 by a splitting tree: at each node the number of blocks of each source that go left is multivariate hypergeometric,
 given how many go to the left in all, down to single shards; so every shard gets a random but exact part of every
-source's blocks, and no block comes twice in a pass. The tree only handles counts: sources times shards numbers on
-the driver, of at most BLOCKS blocks per source whatever the size of the corpus. Within a shard documents have
-random places to be sorted by, so no shard is gathered into one task here.
+source's blocks, and no block comes twice in a pass. As many whole passes as there are shards, or a multiple of it,
+go one to each shard; only what is left over is drawn. So the tree handles less than shards + 1 passes of BLOCKS
+blocks, and the plan has a row for a source's block and shard, with the number of copies: at most
+BLOCKS * (SHARDS + 1) rows per source and plan, however often a source repeats and whatever the size of the corpus.
+Within a shard documents have random places to be sorted by, so no shard is gathered into one task here.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from quoin.session import checkpoint
 
 BLOCKS, SHARDS, SEED = 1024, 16, 11
 
-BLOCK_ROW = "mix_plan string, source string, pass int, block int, shard int, cut long"
+#: Rows of a plan up to which it is handed to every executor.
+BROADCAST_ROWS = 500_000
+
+BLOCK_ROW = "mix_plan string, source string, block int, shard int, first int, copies int, cut long"
 SHARE_ROW = "mix_plan string, source string, weight double, target_share double, max_repeats int, source_tokens long, quota_tokens long"
 
 
@@ -54,41 +59,43 @@ def split_tree(blocks: np.ndarray, shards: int, rng: np.random.Generator) -> np.
 
 def quotas(weights: dict[str, tuple[float, int | None]], tokens: dict[str, int]) -> dict[str, int]:
     """Tokens to draw of each present source of a plan: weights are (weight, cap)."""
-    here = {s: (w, cap) for s, (w, cap) in weights.items() if tokens.get(s, 0) > 0 and w and w > 0 and math.isfinite(w)}
+    here = {s: (w, cap) for s, (w, cap) in weights.items() if tokens.get(s, 0) > 0 and w and w > 0 and math.isfinite(w) and (cap is None or cap > 0)}
     total = sum(w for w, _ in here.values())
     if not total:
         return {}
-    sizes = [max(cap, 0) * tokens[s] * total / w for s, (w, cap) in here.items() if cap is not None]
+    sizes = [cap * tokens[s] * total / w for s, (w, cap) in here.items() if cap is not None]
     size = min(sizes) if sizes else float(sum(tokens[s] for s in here))
     return {s: int(round(size * w / total)) for s, (w, _) in here.items()}
 
 
 def plan_blocks(plan: str, want: dict[str, int], sums: dict[str, dict[int, int]], shards: int, seed: int) -> list[tuple]:
-    """(plan, source, pass, block, shard, cut): the blocks to draw; cut is the tokens to take of a block, null for all."""
+    """(plan, source, block, shard, first, copies, cut): copies of a block, in the passes from ``first`` on; cut is the tokens to take of it, null for all."""
     rng = np.random.default_rng([seed, *plan.encode()])
-    drawn: dict[str, list[tuple[int, int, int | None]]] = {}
+    out: list[tuple] = []
+    left: dict[str, tuple[np.ndarray, int, list]] = {}
     for s in sorted(want):
-        blocks = sorted(sums[s])
-        whole, rest = divmod(want[s], sum(sums[s].values()))
-        rows: list[tuple[int, int, int | None]] = []
-        for p in range(whole + 1):
-            for b in rng.permutation(blocks):
-                n = sums[s][int(b)]
-                if p < whole:
-                    rows.append((p, int(b), None))
-                elif rest > 0:
-                    rows.append((p, int(b), None if n <= rest else rest))
-                    rest -= min(n, rest)
-        drawn[s] = rows
-    names = sorted(drawn)
-    tree = split_tree(np.array([len(drawn[s]) for s in names], np.int64), shards, rng) if names else np.zeros((shards, 0), int)
-    out = []
+        blocks = rng.permutation(sorted(sums[s]))
+        passes, rest = divmod(want[s], sum(sums[s].values()))
+        each, over = divmod(passes, shards)
+        if each:
+            out += [(plan, s, int(b), k, k * each, each, None) for b in blocks for k in range(shards)]
+        last = []
+        for b in rng.permutation(blocks):
+            if rest <= 0:
+                break
+            n = sums[s][int(b)]
+            last.append((int(b), None if n <= rest else rest))
+            rest -= min(n, rest)
+        left[s] = (blocks, over, last)
+    names = sorted(left)
+    counts = np.array([len(left[s][0]) * left[s][1] + len(left[s][2]) for s in names], np.int64)
+    tree = split_tree(counts, shards, rng) if names else np.zeros((shards, 0), int)
     for j, s in enumerate(names):
-        order = rng.permutation(len(drawn[s]))
+        blocks, over, last = left[s]
+        done = want[s] // sum(sums[s].values()) - over
+        drawn = [(int(b), done + p, None) for p in range(over) for b in blocks] + [(b, done + over, cut) for b, cut in last]
         shard = np.repeat(np.arange(shards), tree[:, j])
-        for at, k in enumerate(order):
-            p, b, cut = drawn[s][k]
-            out.append((plan, s, p, b, int(shard[at]), cut))
+        out += [(plan, s, drawn[k][0], int(shard[at]), drawn[k][1], 1, drawn[k][2]) for at, k in enumerate(rng.permutation(len(drawn)))]
     return out
 
 
@@ -98,7 +105,7 @@ def mix(docs: DataFrame, targets: DataFrame, shards: int = SHARDS, blocks: int =
     selection(mix_plan, shard, place, doc_id, source, pass, n_tokens): a document comes at most once a pass, so at most
     max_repeats times; a shard is read in the order of place, a random number, then doc_id. Documents without tokens (null and empty texts) or source are
     never drawn. A source of a plan that no document has gets no tokens and its weight goes to the others in
-    proportion; sources outside a plan aren't drawn for it; null, zero and negative weights draw nothing; of a plan's
+    proportion, as does that of a source whose cap is 0 or less; sources outside a plan aren't drawn for it; null, zero and negative weights draw nothing; of a plan's
     source given twice the weights are added and the smaller cap holds. The quota of a source is met up to part of
     one document.
 
@@ -127,7 +134,9 @@ def mix(docs: DataFrame, targets: DataFrame, shards: int = SHARDS, blocks: int =
         for s, (w, cap) in sorted(weights[plan].items()):
             share_rows.append((plan, s, w, want.get(s, 0) / total if total else 0.0, cap, tokens.get(s, 0), want.get(s, 0)))
     drawn = spark.createDataFrame(rows, BLOCK_ROW)
-    picked = counted.join(F.broadcast(drawn), ["source", "block"])
+    plan = F.broadcast(drawn) if len(rows) <= BROADCAST_ROWS else drawn
+    passes = F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)).alias("pass")
+    picked = counted.join(plan, ["source", "block"]).select("doc_id", "source", "n_tokens", "block", "mix_plan", "shard", "cut", passes)
     # Only the last block of a source's last pass is cut: documents in the order of their hash until the quota is met.
     order = F.xxhash64("doc_id", "mix_plan", "pass", F.lit(seed))
     whole = picked.where(F.col("cut").isNull())

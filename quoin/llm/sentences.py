@@ -1,10 +1,11 @@
 """Sentences of texts in many languages and scripts, by cascading tables of break and no-break rules.
 
-A rule is (break or not, pattern that ends at the place, pattern that begins there). Candidate places are found
-first: behind marks that can end a sentence, behind emoji, at line breaks, and at spaces between Thai letters.
-Places inside quotations and brackets are none. For each other place the tables are read in the order of the
-cascade (common exceptions, then the languages of the script before the place, then the common breaks) and the
-first rule that matches decides; without a match there is no break.
+A rule is (break or not, pattern that ends at the place, pattern that begins there, what else must hold). Candidate
+places are found first: behind marks that can end a sentence, behind emoji, at line breaks, at spaces between Thai
+letters, behind Greek question marks, and behind quotations and brackets that end with such a mark. Each kind of
+place has its cascade of tables (common exceptions, the languages of the script before the place, common breaks), and
+the first rule that matches decides; without a match there is no break. Patterns look at the whole text, not at a
+window of it, and what must hold (a wrapped line, small letters only, …) is told to the rules as facts of the place.
 
 Languages are told by script around each place, not by the column ``lang``, which is often wrong, and texts mix
 languages. Line breaks are soft in wrapped paragraphs: where the next word would not have fitted on the line.
@@ -14,18 +15,15 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import regex as re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A quotation or bracket that isn't closed within so many characters is taken for a stray mark.
-SPAN_LIMIT = 500
 #: Longest line of a paragraph that is taken for wrapped.
 WRAP_LIMIT = 100
-#: Characters before and after a place that rules can look at.
-BEHIND, AHEAD = 60, 40
 
 EMOJI = r"(?:[\U0001F000-\U0001FAFF☀-➿⭐⭕‼⁉](?:[️‍\U0001F3FB-\U0001F3FF]|‍[\U0001F000-\U0001FAFF☀-➿])*)"
 END = r"[.!?…。！？।؟‼⁇｡．]"
@@ -59,12 +57,34 @@ def _words(s: str) -> str:
     return "|".join(re.escape(w).replace(r"\.", r"\.\s?") for w in sorted(s.split(), key=len, reverse=True))
 
 
-def _rule(breaks: bool, before: str, after: str) -> tuple:
-    return breaks, re.compile(rf"(?:{before})\Z"), re.compile(after)
+class Rule(NamedTuple):
+    breaks: bool
+    before: re.Pattern | None
+    after: re.Pattern | None
+    needs: frozenset
+    bars: frozenset
+
+
+class Table(NamedTuple):
+    """Rules in their order, and one pattern that holds wherever one of theirs before the place does."""
+
+    rules: tuple[Rule, ...]
+    before: re.Pattern | None
+
+
+def _rule(breaks: bool, before: str, after: str, *facts: str) -> tuple:
+    """facts: names of what must hold, or with ! before it must not."""
+    return breaks, before, after, facts
+
+
+def _table(*rules: tuple) -> Table:
+    behind = lambda *x: re.compile("(?<=" + "|".join(f"(?:{y})" for y in x) + ")")
+    facts = lambda f, bar: frozenset(x.lstrip("!") for x in f if (x[0] == "!") is bar)
+    return Table(tuple(Rule(b, behind(x) if x else None, re.compile(y) if y else None, facts(f, False), facts(f, True)) for b, x, y, f in rules), None if any(not x for _, x, _, _ in rules) else behind(*(x for _, x, _, _ in rules)))
 
 
 #: Exceptions of every language.
-NO_BREAK = [
+NO_BREAK = _table(
     # A sentence that begins with a year, the space before it lost.
     _rule(True, r"\p{L}{3}\.", r"\p{N}{4}\s\p{L}"),
     _rule(False, r"\p{N}[.．]", r"\p{N}"),
@@ -74,7 +94,7 @@ NO_BREAK = [
     _rule(False, r"(?<![\p{L}\p{N}])\p{Lu}\.", r"\p{L}"),
     _rule(False, r"(?<![\p{L}])[Cc]o\.", r"\s*(?:Ltd|Inc|KG|OHG|&)"),
     _rule(False, r"(?<![\p{L}])[aApP]\.", r"\s?[mM]\b"),
-]
+)
 #: Tables by script: the abbreviations of its languages, then what else they need.
 LANGUAGE = {
     script: [_rule(False, rf"(?<![\p{{L}}\p{{M}}])(?i:{_words(' '.join(by.values()))})\.", r"\s*\S")] for script, by in ABBREVIATIONS.items()
@@ -87,9 +107,9 @@ LANGUAGE["latin"] += [
 ]
 LANGUAGE["cyrillic"] = [_rule(True, r"\bт\.\s?[дп]\.", r"\s+[^\p{Ll}\s]")] + LANGUAGE["cyrillic"] + [_rule(False, r"\b[тд]\.", r"\s?[дпек]\b"), _rule(False, r"\bг\.", r"\s*\p{Ll}")]
 LANGUAGE["thai"] += [_rule(False, r".", r"\s*เป็นต้นไป")]
-LANGUAGE["han"] = LANGUAGE["hangul"] = []
+TABLES = {script: _table(*rules) for script, rules in LANGUAGE.items()}
 #: What ends a sentence.
-BREAK = [
+BREAK = _table(
     _rule(True, r"[。！？｡]", r""),
     _rule(True, r"।", r""),
     _rule(True, rf"{END}", r"\s*\Z"),
@@ -98,16 +118,64 @@ BREAK = [
     _rule(True, r"[\p{Ll}\p{Lo}\p{M}\p{N}\)%²€]{2}[.!?…؟]+", rf"(?:{OPEN}*\p{{Lu}}|{OPEN}*\p{{Lo}}|[¿¡«“„「(])"),
     _rule(True, r"[!?…]", rf"(?:{OPEN}*\p{{Lu}}|[¿¡«“„「(]|\p{{N}})"),
     _rule(True, rf"{END}", r"\s+[^\p{L}\p{N}\s,;:)\]»]"),
-]
-#: In lines without capitals a small letter can begin a sentence.
-BREAK_SMALL = [_rule(True, rf"{END}", r"\s+\p{L}")]
-AFTER_EMOJI = [_rule(True, ".", rf"\s*(?:{START}|\Z|[-–*•]\s)")]
+    # In lines without capitals a small letter can begin a sentence.
+    _rule(True, rf"{END}", r"\s+\p{L}", "small"),
+)
+_CLOSED = rf"(?:{END}|;|{EMOJI})[\"”’»」』)\]）]*"
+#: Line breaks. hard: a blank line, or a break no wrapping makes; listed: the line is one of a list; fits: the next word would have fitted on the line.
+LINE = _table(
+    _rule(True, r"", r"", "hard"),
+    _rule(True, r"", r"[{=<&]"),
+    _rule(True, r"", r"", "listed"),
+    _rule(True, r"", r"[-*•‣◦▪]\s"),
+    _rule(False, r"", r"", "inside"),
+    _rule(False, rf"{_CLOSED}\s*", r""),  # decided behind the mark
+    _rule(True, r"", rf"[^\S\n]*(?:{EMOJI}[^\S\n]*)+(?:\n|\Z)"),
+    _rule(False, r"", rf"{EMOJI}", "!fits"),
+    _rule(False, r"", r"", "!fits", "narrow"),
+    _rule(False, r"", r"\s*\p{Ll}", "narrow", "!small"),
+    _rule(False, r"", r"\s*\p{Ll}", "!narrow", "!small_next"),
+    _rule(True, r"", r""),
+)
+#: Spaces between Thai letters: none behind titles and before what belongs to a date.
+THAI = _table(
+    _rule(False, r"", r"", "inside"),
+    _rule(False, r"คุณ|นาย|นาง|นางสาว|ดร\.", r""),
+    _rule(False, r"", r"\s*เป็นต้นไป"),
+    _rule(True, r"", r""),
+)
+#: Behind emoji. opens: they open their line; ended: the line before has its end.
+AFTER_EMOJI = _table(
+    _rule(False, r"", r"", "inside"),
+    _rule(True, r"", r"\s*\n", "opens"),
+    _rule(False, r"", r"", "opens", "ended"),
+    _rule(True, r"", rf"\s*(?:{START}|\Z|[-–*•]\s)"),
+    _rule(True, r"", r"\s+\p{L}", "small"),
+)
+GREEK = _table(
+    _rule(False, r"", r"\s+\p{Ll}"),
+    _rule(True, r"", r"\s*\Z|\s+\S|\p{Lu}"),
+)
+#: Behind a quotation or bracket (bracket) that ends with a mark. begins: it stands where a sentence can begin.
+QUOTE = _table(
+    _rule(False, r"", rf"\s*{END}|\s*[,;:–—-]"),
+    _rule(True, r"", r"", "bracket", "begins", "small_mark"),
+    _rule(False, r"", r"\s*\p{Ll}", "bracket"),
+    _rule(True, r"", r"", "bracket", "begins"),
+    _rule(False, r"", r"", "bracket"),
+    _rule(False, r"", r"\p{L}"),
+    _rule(True, r"", r"\s*(?:[\"“„«‹「『(¿¡]*[\p{Lu}\p{N}]|[“„«‹「『(¿¡]|\Z)"),
+    _rule(True, r"", r"\s*[\n\r]\s*[-*•]\s"),
+)
+_BEGINS = re.compile(rf"(?<=(?:^|\A|{END}|;|{EMOJI}|[\n\r)”»]|\p{{Thai}})\s{{0,3}})", re.M)
+_LINE_ENDED = re.compile(rf"(?<=(?:\A|(?:{END}|;)[\"”’»」』)\]）]*)\s*)")
 
 _SCRIPTS = (("latin", r"\p{Latin}"), ("cyrillic", r"\p{Cyrillic}"), ("greek", r"\p{Greek}"), ("devanagari", r"\p{Devanagari}"), ("arabic", r"\p{Arabic}"), ("thai", r"\p{Thai}"), ("hangul", r"\p{Hangul}"), ("han", r"[\p{Han}\p{Hiragana}\p{Katakana}]"))
-_SCRIPT = re.compile("|".join(f"(?P<{n}>{p})" for n, p in _SCRIPTS))
+#: The script of the last letter before a place, no more than 12 characters back.
+_SCRIPT = re.compile("(?<=(?:" + "|".join(f"(?P<{n}>{p})" for n, p in _SCRIPTS) + r")[^\p{L}]{0,11})")
+_WORD = re.compile(r"\s*\K\S*")
 _PLACE = re.compile(rf"(?P<end>{END}+)|(?P<emoji>(?:{EMOJI}\s?)*{EMOJI})|(?P<greek>(?<=[\p{{Greek}}\)]);)|(?P<line>[^\S\n\r  ]*(?:\r\n|[\n\r  \x85\v\f])\s*)|(?P<thai>(?<=[\p{{Thai}}])[  ]+(?=[\p{{Thai}}\p{{Lu}}(]))")
 _MARK = re.compile(r"[-*•‣◦▪]\s")
-_ONLY_EMOJI = re.compile(rf"(?:{EMOJI}\s*)+\Z")
 _NEWLINES = re.compile(r"\r\n|[\n\r  \x85\v\f]")
 _QUOTES = {"“": "”", "«": "»", "‹": "›", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）"}
 _TRAIL = re.compile(rf"[\"”’»›」』)\]）]*(?:[^\S\n\r]?{EMOJI})*")
@@ -115,7 +183,7 @@ _TRAIL = re.compile(rf"[\"”’»›」』)\]）]*(?:[^\S\n\r]?{EMOJI})*")
 
 def _spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, opening mark) of the outermost quotations and brackets."""
-    out, i, n = [], 0, len(text)
+    out, i, gap, n = [], 0, 0, len(text)
     for m in re.finditer(r"[“„«‹「『(\[（”\"]", text):
         at, mark = m.start(), m.group()
         if at < i:
@@ -126,34 +194,60 @@ def _spans(text: str) -> list[tuple[int, int, str]]:
             close = ("“", "”")
         else:
             close = (_QUOTES[mark],)
-        limit = min(n, at + 1 + SPAN_LIMIT)
-        ends = [e for c in close if (e := text.find(c, at + 1, limit)) >= 0]
+        # What isn't closed before the next blank line is a stray mark.
+        if gap <= at:
+            gap = blank if (blank := text.find("\n\n", at)) >= 0 else n
+        ends = [e for c in close if (e := text.find(c, at + 1, gap)) >= 0]
         if not ends:
             continue
         end = min(ends) + 1
-        gap = text.find("\n\n", at, end)
-        if gap >= 0:
-            continue
         out.append((at, end, mark))
         i = end
     return out
 
 
-def _line_of(text: str, at: int) -> tuple[int, int]:
-    start = max((text.rfind(c, 0, at) for c in "\n\r  "), default=-1) + 1
-    stop = min((e for c in "\n\r  " if (e := text.find(c, at)) >= 0), default=len(text))
-    return start, stop
-
-
-def _is_small(line: str) -> bool:
-    """Whether a line of some length has small letters only."""
-    small = sum(c.islower() for c in line)
-    return small >= 12 and not any(c.isupper() for c in line)
-
-
-def _decide(rules: list, before: str, after: str) -> bool | None:
-    for breaks, b, a in rules:
-        if a.match(after) and b.search(before):
+class Lines:
+    """The lines of a text: where they begin and end, and how wide their paragraphs are."""
+
+    def __init__(self, text: str):
+        self.text = text
+        breaks = [m.span() for m in _NEWLINES.finditer(text)]
+        self.starts, self.ends = [0] + [e for _, e in breaks], [s for s, _ in breaks] + [len(text)]
+        self._small: dict[int, bool] = {}
+        self._widths: list[int] | None = None
+
+    def at(self, place: int) -> int:
+        return bisect_right(self.starts, place) - 1
+
+    def small(self, line: int) -> bool:
+        """Whether a line of some length has small letters only."""
+        if line not in self._small:
+            part = self.text[self.starts[line] : self.ends[line]]
+            self._small[line] = not any(map(str.isupper, part)) and sum(map(str.islower, part)) >= 12
+        return self._small[line]
+
+    def width(self, line: int) -> int:
+        """Width of a line's paragraph: its longest line that is no list line."""
+        if self._widths is None:
+            self._widths, para, width = [0] * len(self.starts), [], 0
+            for i, (s, e) in enumerate([*zip(self.starts, self.ends), (0, 0)]):
+                part = self.text[s:e].rstrip()
+                if part.strip():
+                    para.append(i)
+                    width = width if _MARK.match(part.lstrip()) else max(width, len(part))
+                else:
+                    for j in para:
+                        self._widths[j] = width
+                    para, width = [], 0
+        return self._widths[line]
+
+
+def decide(table: Table, text: str, before: int, after: int, facts: set[str]) -> bool | None:
+    """What the first rule of a table says that holds for the text up to ``before`` and from ``after`` on; None if none does."""
+    if table.before is not None and table.before.match(text, before) is None:
+        return None
+    for breaks, b, a, needs, bars in table.rules:
+        if needs <= facts and not bars & facts and (a is None or a.match(text, after)) and (b is None or b.match(text, before)):
             return breaks
     return None
 
@@ -162,127 +256,56 @@ def boundaries(text: str) -> list[int]:
     """Places (offsets) at which a new sentence may begin."""
     spans = _spans(text)
     starts = [s for s, _, _ in spans]
-    lines = list(_NEWLINES.finditer(text))
-    widths: dict[int, int] = {}
-    if lines:
-        # Width of each paragraph: its longest line that is no list line.
-        para: list[tuple[int, int]] = []
-        bounds = [(0, lines[0].start())] + [(a.end(), b.start()) for a, b in zip(lines, lines[1:])] + [(lines[-1].end(), len(text))]
-        for s, e in bounds + [(len(text), len(text))]:
-            blank = not text[s:e].strip()
-            if blank or s == len(text):
-                width = max((len(text[x:y].rstrip()) for x, y in para if not _MARK.match(text[x:y].lstrip())), default=0)
-                for x, _ in para:
-                    widths[x] = width
-                para = []
-            else:
-                para.append((s, e))
-    small: dict[int, bool] = {}
-
-    def all_small(at: int) -> bool:
-        s, e = _line_of(text, at)
-        if s not in small:
-            small[s] = _is_small(text[s:e])
-        return small[s]
-
-    def inside(at: int) -> tuple | None:
-        i = bisect_right(starts, at) - 1
-        return spans[i] if i >= 0 and spans[i][0] < at < spans[i][1] else None
-
+    opening = set(starts)
+    lines = Lines(text)
     out: set[int] = set()
     pos = 0
     while (m := _PLACE.search(text, pos)) is not None:
-        pos = max(m.end(), pos + 1)
-        span = inside(m.start())
-        kind = m.lastgroup
+        begin, at = m.span()
+        pos = max(at, pos + 1)
+        i = bisect_right(starts, begin) - 1
+        span = spans[i] if i >= 0 and spans[i][0] < begin < spans[i][1] else None
+        facts = {"inside"} if span is not None else set()
+        kind, line = m.lastgroup, lines.at(begin)
+        before = after = place = at
         if kind == "line":
-            before = text[max(0, m.start() - BEHIND) : m.start()].rstrip()
-            hard = len(_NEWLINES.findall(m.group())) >= 2 or " " in m.group()
-            start, _ = _line_of(text, m.start())
-            line, rest = text[start : m.start()], text[m.end() : m.end() + 200]
-            listed = bool(_MARK.match(line.lstrip()))
-            # Wrapping leaves no space at the end of a line, and no such marks at the start of one.
-            hard |= m.group()[0] in " \t\u3000\xa0" or rest[:1] in ("{", "=", "<", "&")
-            if hard or listed or _MARK.match(rest):
-                out.add(m.end())
-                continue
-            if span is not None:
-                continue
-            if re.search(rf"(?:{END}|;|{EMOJI})[\"”’»」』)\]）]*\Z", before):
-                continue  # decided behind the mark
-            first = rest.split(None, 1)[0] if rest.split() else ""
-            if _ONLY_EMOJI.match(rest.split("\n", 1)[0].strip() or "x"):
-                out.add(m.end())
-                continue
-            lead = re.match(rf"{EMOJI}+", rest)
-            width = widths.get(start, 0)
-            fits = len(line.rstrip()) + 1 + len(first) <= width
-            if lead and not fits:
-                continue
-            if width <= WRAP_LIMIT and (not fits or (first[:1].islower() and not all_small(m.start()))):
-                continue
-            if first[:1].islower() and not all_small(m.end()) and width > WRAP_LIMIT:
-                continue
-            out.add(m.end())
-            continue
-        if kind == "thai":
-            if span is None and not re.search(r"(?:คุณ|นาย|นาง|นางสาว|ดร\.)\Z", text[max(0, m.start() - 10) : m.start()]) and not text.startswith("เป็นต้นไป", m.end()):
-                out.add(m.end())
-            continue
-        if kind == "emoji":
-            if span is not None:
-                continue
-            after = text[m.end() : m.end() + AHEAD]
-            line_start, _ = _line_of(text, m.start())
-            if not text[line_start : m.start()].strip() and "\n" in after[: len(after) - len(after.lstrip()) + 1]:
-                out.add(m.end())
-                continue
-            if not text[line_start : m.start()].strip() and re.search(rf"(?:{END}|;)[\"”’»」』)\]）]*\s*\Z", text[max(0, line_start - BEHIND) : line_start] or "."):
-                continue  # it opens a line, behind a sentence that has its end
-            if _decide(AFTER_EMOJI, "x", after) or (all_small(m.start()) and re.match(r"\s+\p{L}", after)):
-                out.add(m.end())
-            continue
-        at = m.end()
-        if span is not None:
+            before, here = begin, text[lines.starts[line] : begin]
+            width, word = lines.width(line), _WORD.match(text, at)
+            if len(_NEWLINES.findall(m.group())) >= 2 or " " in m.group() or m.group()[0] in " \t\u3000\xa0":
+                facts.add("hard")  # wrapping leaves no space at the end of a line
+            facts |= {f for f, x in (("listed", _MARK.match(here.lstrip())), ("fits", len(here.rstrip()) + 1 + len(word.group()) <= width), ("narrow", width <= WRAP_LIMIT), ("small", lines.small(line)), ("small_next", lines.small(lines.at(at)))) if x}
+            cascade = (LINE,)
+        elif kind == "thai":
+            before, cascade = begin, (THAI,)
+        elif kind == "emoji":
+            start = lines.starts[line]
+            if not text[start:begin].strip():
+                facts |= {"opens"} | ({"ended"} if start and _LINE_ENDED.match(text, start) else set())
+            facts |= {"small"} if lines.small(line) else set()
+            cascade = (AFTER_EMOJI,)
+        elif span is not None:
             s, e, mark = span
             # A whole quotation or bracket ends here only if nothing but closing marks follows in it.
-            if text[at:e].strip("\"”’“»›」』)]） ") or e <= at:
-                continue
-            tail = _TRAIL.match(text, e)
-            at = tail.end()
-            after = text[at : at + AHEAD]
-            if re.match(rf"\s*{END}", after) or re.match(r"\s*[,;:–—-]", after):
+            if e <= at or text[at:e].strip("\"”’“»›」』)］） "):
                 continue
-            if mark in "([（":
-                lead = text[max(0, s - 3) : s].rstrip()
-                begins = s == 0 or not text[:s].strip() or bool(re.search(rf"(?:{END}|;|{EMOJI}|[\n\r)”»]|\p{{Thai}})\Z", lead or "x")) or "\n" in text[max(0, s - 2) : s]
-                if begins and (not re.match(r"\s*\p{Ll}", after) or all_small(s)):
-                    out.add(at)
-            elif re.match(r"\s*(?:[\"“„«‹「『(¿¡]*[\p{Lu}\p{N}]|[“„«‹「『(¿¡]|\Z)", after) or re.match(rf"\s*[\n\r]\s*[-*•]\s", after):
-                if not re.match(r"\p{L}", after):
-                    out.add(at)
-            continue
-        tail = _TRAIL.match(text, at)
-        close = tail.end()
-        if close > at and text[at] in "\"”" and any(s == at for s in starts):
-            close = at  # an opening mark of the next sentence
-        before, after = text[max(0, at - BEHIND) : at], text[close : close + AHEAD]
-        if kind == "greek":
-            if re.match(r"\s*\Z|\s+\S|\p{Lu}", after) and not re.match(r"\s+\p{Ll}", after):
-                out.add(close)
-            continue
-        scripts = _SCRIPT.findall(before[-12:])
-        found = next((n for t in reversed(scripts) for (n, _), x in zip(_SCRIPTS, t) if x), None)
-        decided = _decide(NO_BREAK, before, after) if m.group() == "." else None
-        if decided is None and m.group() == ".":
-            decided = _decide(LANGUAGE.get(found, []), before, after)
-        if decided is None:
-            # All rules see a cluster of marks as its last one.
-            decided = _decide(BREAK, before, after)
-        if decided is None and all_small(at):
-            decided = _decide(BREAK_SMALL, before, after)
-        if decided:
-            out.add(close)
+            place = after = before = _TRAIL.match(text, e).end()
+            facts = {f for f, x in (("bracket", mark in "([（"), ("begins", _BEGINS.match(text, s)), ("small_mark", lines.small(lines.at(s)))) if x}
+            cascade = (QUOTE,)
+        else:
+            place = _TRAIL.match(text, at).end()
+            if place > at and text[at] in "\"”" and at in opening:
+                place = at  # an opening mark of the next sentence
+            after = place
+            facts = {"small"} if lines.small(line) else set()
+            if kind == "greek":
+                cascade = (GREEK,)
+            elif m.group() == ".":
+                script = _SCRIPT.match(text, at)
+                cascade = (NO_BREAK, *((TABLES[script.lastgroup],) if script and script.lastgroup in TABLES else ()), BREAK)
+            else:
+                cascade = (BREAK,)
+        if next((x for t in cascade if (x := decide(t, text, before, after, facts)) is not None), False):
+            out.add(place)
     return sorted(out)
 
 
@@ -296,8 +319,6 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
         if piece.strip():
             s = a + len(piece) - len(piece.lstrip())
             out.append((s, a + len(piece.rstrip())))
-        elif out and piece.strip():
-            out[-1] = (out[-1][0], b)
         a = b
     return out
 

@@ -296,3 +296,31 @@ def test_nothing_outside_imports_llm():
     root = Path(quoin.__file__).parent
     assert not [p for p in root.rglob("*.py") if "llm" not in p.relative_to(root).parts and "quoin.llm" in p.read_text()]
     assert pd is not None
+
+
+def test_plan_rows_are_bounded_however_often_a_source_repeats():
+    sums = {"small": {b: 1 for b in range(64)}, "large": {b: 2000 for b in range(64)}}
+    want = {"small": 64 * 1998 + 5, "large": 64 * 2000}
+    rows = mixing.plan_blocks("p", want, sums, 16, 1)
+    assert len(rows) <= 2 * 64 * 17
+    seen = sorted((s, p, b) for _, s, b, _, first, n, _ in rows for p in range(first, first + n))
+    assert len(seen) == len(set(seen)) == 64 * 1998 + 5 + 64 and {p for s, p, _ in seen if s == "small"} == set(range(1999))
+    per = [sum(n for _, s, _, k, _, n, _ in rows if k == shard) for shard in range(16)]
+    assert max(per) - min(per) <= 1
+
+
+def test_a_cap_of_zero_leaves_out_its_source_only():
+    assert mixing.quotas({"a": (1.0, 0), "b": (1.0, 2), "c": (2.0, None)}, {"a": 10, "b": 10, "c": 30}) == {"b": 20, "c": 40}
+
+
+def test_counts_equal_the_ids():
+    e = tokenizing.encoder(tokenizing.TOKENIZER_DIR, "byte_bpe_50k")
+    for t in ["", None, "Zimmer 12 war's!", "服务态度很好 😀\n\n x", "a" * 3000]:
+        assert e.count(t) == len(e.ids(t))
+
+
+def test_long_quotations_stay_whole_up_to_a_blank_line():
+    body = "Es war gut. " * 120
+    assert len(sentences.sentences(f"Er sagte: „{body.strip()}“ Danach ging er.")) == 2
+    assert len(sentences.sentences(f"Er sagte: „{body.strip()}\n\nDanach ging er.")) > 100
+    assert sentences.sentences("Kein Ende" + "." * 400 + " Neu. " + "wort " * 90 + "aus. Ende.")[-1][1] == 9 + 400 + 6 + 450 + 10
