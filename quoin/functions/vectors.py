@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -128,11 +128,91 @@ def sparse_dot(a: Column, b: Column) -> Column:
     return total(F.map_values(F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0)))))
 
 
-def sign_code(v: Column, start: int, bits: int = 63) -> Column:
-    """Long whose bit i is set where element start + i is positive."""
+def sign_code(v: Column, start: int, bits: int = 64) -> Column:
+    """Long whose bit i is set where element start + i is positive; up to 64 bits."""
     part = F.slice(doubles(v), start + 1, bits)
-    return F.aggregate(F.transform(part, lambda x, i: F.when(x > 0, F.pow(F.lit(2.0), i).cast("long")).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
+    return F.aggregate(F.transform(part, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
 
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
+
+
+def mapped(v: Column, f) -> Column:
+    return F.transform(doubles(v), f)
+
+
+def paired(a: Column, b: Column, f) -> Column:
+    return F.zip_with(doubles(a), doubles(b), f)
+
+
+def product(v: Column) -> Column:
+    return F.aggregate(doubles(v), F.lit(1.0), lambda s, x: s * x)
+
+
+def differences(v: Column) -> Column:
+    """Each element less the one before it; one shorter."""
+    v = doubles(v)
+    return F.zip_with(F.slice(v, 2, F.size(v)), F.slice(v, 1, F.greatest(F.lit(0), F.size(v) - 1)), lambda x, y: x - y)
+
+
+def quantile_of(v: Column, q: float) -> Column:
+    """Linear between the two elements next to the place."""
+    s, at = F.array_sort(doubles(v)), (F.size(v) - 1) * F.lit(q)
+    low, high = (F.get(s, f(at).cast("int")) for f in (F.floor, F.ceil))
+    return low + (high - low) * (at - F.floor(at))
+
+
+def sorting_index(v: Column) -> Column:
+    """Places of the elements in ascending order, equal ones by place."""
+    return F.transform(F.array_sort(F.transform(doubles(v), lambda x, i: F.struct(x.alias("x"), i.alias("i")))), lambda s: s["i"])
+
+
+def inverted(permutation: Column) -> Column:
+    """Where each place went."""
+    pairs = F.array_sort(F.transform(permutation, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    return F.transform(pairs, lambda s: s["i"])
+
+
+def ranks(v: Column) -> Column:
+    """0-based rank of each element, equal ones by place."""
+    return inverted(sorting_index(v))
+
+
+def permuted(v: Column, permutation: Column) -> Column:
+    return F.transform(permutation, lambda i: F.get(v, i))
+
+
+def found(df: DataFrame, column: str, value: Column) -> DataFrame:
+    """Add place (0-based, in the sorted array, -1 if absent), times and kinds (distinct elements)."""
+    v = F.col(column)
+    times = F.size(F.filter(v, lambda x: x == value)).cast("long")
+    return df.withColumn("place", F.array_position(F.array_sort(v), value).cast("int") - 1).withColumn("times", times).withColumn("kinds", F.size(F.array_distinct(v)).cast("long"))
+
+
+def scattered(df: DataFrame, group: str, slots: Column, values: Column) -> DataFrame:
+    """(group, slot, total): values added up where their slots say."""
+    pairs = df.select(group, F.explode(F.arrays_zip(slots.alias("slot"), values.alias("x"))).alias("p"))
+    return pairs.groupBy(group, F.col("p.slot").cast("int").alias("slot")).agg(F.sum("p.x").alias("total"))
+
+
+def replaced(v: Column, which, by: float) -> Column:
+    return F.transform(doubles(v), lambda x: F.when(which(x), F.lit(by)).otherwise(x))
+
+
+def span(start: Column, n: int, step: int = 1) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (start + i * step).cast("int"))
+
+
+def seeded(key: Column, n: int, seed: int) -> Column:
+    """n numbers in [0, 1) that depend on key and seed alone, not on how rows are spread."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.pmod(F.xxhash64(key, F.lit(seed), i), F.lit(1 << 53)).cast("double") / float(1 << 53))
+
+
+def polynomial3(v: Column) -> Column:
+    """Products of all triples i <= j <= k, times the root of how many orders each has, so that dot products are cubed."""
+    v = doubles(v)
+    many = lambda i, j, k: F.when((i == j) & (j == k), 1.0).when((i == j) | (j == k), 3**0.5).otherwise(6**0.5)
+    third = lambda i, j: F.transform(F.sequence(j, F.size(v) - 1), lambda k: F.get(v, i) * F.get(v, j) * F.get(v, k) * many(i, j, k))
+    second = lambda i: F.flatten(F.transform(F.sequence(i, F.size(v) - 1), lambda j: third(i, j)))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(v) - 1), second))

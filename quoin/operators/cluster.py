@@ -30,14 +30,14 @@ def nearest_word(df: DataFrame, centroids: Centroids, out: str = "word", kind: s
     def assign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = shared.value
         for s in batches:
-            got = []
-            for v in s:
-                if v is None:
-                    got.append(None)
-                else:
-                    d = np.asarray(v, np.float64) - c
-                    got.append(int((np.abs(d).sum(1) if kind == "l1" else (d * d).sum(1)).argmin()))
-            yield pd.Series(got, dtype="Int32")
+            got = pd.Series(pd.NA, index=s.index, dtype="Int32")
+            known = s.notna()
+            if known.any():
+                x = np.stack(s[known].to_numpy()).astype(np.float64)
+                # Distances but for the square of the vector itself, which is the same for all centroids.
+                d = np.stack([np.abs(x - row).sum(1) for row in c], 1) if kind == "l1" else (c * c).sum(1) - 2 * x @ c.T
+                got[known] = d.argmin(1).astype(np.int32)
+            yield got
 
     return df.withColumn(out, assign("vec"))
 

@@ -55,3 +55,38 @@ def similar(lists: DataFrame, bow: float = 0.5, rgb: float = 0.5, fixed_weights:
     weights = {"bow": float(bow), "rgb": float(r), "yuv": float(1 - bow - r if fixed_weights else 1 + bow - r)}
     out = (blending if combine == "blending" else ensembling)(lists, weights, 20, 2)
     return out.where(F.col("score") < threshold) if threshold is not None else out
+
+
+def global_local(whole: DataFrame, parts: DataFrame, share: float = 0.9, max_len: int = 20) -> DataFrame:
+    """Ensembling of two lists(qid, id, dist): of whole images with that share, of their parts with the rest."""
+    both = whole.select("qid", F.lit("whole").alias("list_id"), "id", "dist").unionByName(parts.select("qid", F.lit("parts").alias("list_id"), "id", "dist"))
+    return ensembling(both, {"whole": share, "parts": 1 - share}, max_len)
+
+
+#: Ways to search: how lists are fused, their weights, the length of the result, the highest score.
+VARIANTS = {
+    "blend": ("blending", {}, 5, 2.0), "ensemble": ("ensembling", {}, 5, 6.0), "hog": ("blending", {"hog": 0.8, "sift": 1.0}, 5, 2.0), "hog_ensemble": ("ensembling", {"hog": 0.8, "sift": 1.0}, 5, 6.0),
+}
+
+
+def search_variant(lists: DataFrame, name: str) -> DataFrame:
+    how, weights, max_len, top = VARIANTS[name]
+    return (blending if how == "blending" else ensembling)(lists, weights, max_len, top)
+
+
+def grid(lists: DataFrame, relevant: DataFrame, weights: list[dict], thresholds: list[float], combine: str = "blending") -> DataFrame:
+    """(setting, threshold, tp, fp, fn, precision, recall) of each weighting and limit, from lists and relevant(qid, id).
+
+    A found pair below the limit counts against the pairs that are relevant; settings are few, rows are fused once each.
+    """
+    out = None
+    for i, w in enumerate(weights):
+        fused = (blending if combine == "blending" else ensembling)(lists, w, 1, -1).select("qid", "id", "score")
+        both = fused.join(relevant.select("qid", "id", F.lit(1).alias("y")), ["qid", "id"], "full")
+        t = F.explode(F.array(*(F.lit(float(x)) for x in thresholds)))
+        rows = both.select(t.alias("threshold"), "score", F.coalesce("y", F.lit(0)).alias("y"))
+        hit = F.coalesce(F.col("score") < F.col("threshold"), F.lit(False))
+        n = rows.groupBy("threshold").agg(F.count_if(hit & (F.col("y") == 1)).alias("tp"), F.count_if(hit & (F.col("y") == 0)).alias("fp"), F.count_if(~hit & (F.col("y") == 1)).alias("fn"))
+        part = n.select(F.lit(i).alias("setting"), "threshold", "tp", "fp", "fn", F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fp")), F.lit(0.0)).alias("precision"), F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fn")), F.lit(0.0)).alias("recall"))
+        out = part if out is None else out.unionByName(part)
+    return out

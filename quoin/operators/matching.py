@@ -133,3 +133,8 @@ def suspicious(pairs: DataFrame, rules: DataFrame) -> DataFrame:
     low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
     met = pairs.join(rules, (F.col("chain") == F.col("a")) & (F.col("chain_b") == F.col("b")))
     return met.where((F.col("a") != "") & (F.col("b") != "") & ~F.contains(low("name_b"), low("a")) & ~F.contains(low("name"), low("b"))).drop("a", "b")
+
+
+def within_ratio(df: DataFrame, group: str, value: str, ratio: float) -> DataFrame:
+    """Rows whose value is below ``ratio`` times the least of their group."""
+    return df.withColumn("__least", F.min(value).over(Window.partitionBy(group))).where(F.col(value) < F.col("__least") * ratio).drop("__least")

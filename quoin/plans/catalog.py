@@ -200,12 +200,6 @@ def facility_counts(spark, d):
     return f.select("det_id", "category", F.explode("items").alias("item")).where("item is not null").groupBy("category", "item").agg(F.countDistinct("det_id").alias("hotels"))
 
 
-@query()
-def room_type_names(spark, d):
-    rooms = table(spark, d, "room_images").where(F.col("room_name").isNotNull()).groupBy("room_name").agg(F.count(F.lit(1)).alias("images"))
-    return rooms.select("room_name", "images", F.array_join(scoring.room_types(F.col("room_name")), "|").alias("types"))
-
-
 _BLANK = "coalesce(trim({0}), '')"
 
 
@@ -290,34 +284,64 @@ def vector_reductions(spark, d):
     return _emb(spark, d).select("id", _r(V.total(v), 5).alias("total"), _r(V.norm(v), 5).alias("norm2"), _r(V.norm(v, 1), 5).alias("norm1"), _r(V.norm(v, -1)).alias("norm_max"), V.arg_max(v).alias("arg_max"), V.count_in(v, 0, 0.1).cast("long").alias("inside"), _r(V.median_of(v)).alias("median"))
 
 
-@query(f"with {_EMB} select id, cast(list_sum(list_transform(range(0, 63), lambda i: case when v[i + 1] > 0 then cast(1 as hugeint) << cast(i as integer) else 0 end)) as bigint) as code from e")
-def binary_signature(spark, d):
-    return _emb(spark, d).select("id", V.sign_code(F.col("vec"), 0, 63).alias("code"))
+_SIGN = "cast(case when bits >= 9223372036854775808 then bits - 18446744073709551616 else bits end as bigint)"
+_CODES = f"{_EMB}, s as (select id, label, list_sum(list_transform(range(0, 64), lambda i: case when v[i + 1] > 0 then cast(1 as hugeint) << cast(i as integer) else 0 end)) as bits from e), c as (select id, label, {_SIGN} as code from s)"
 
 
-_CODES = f"{_EMB}, c as (select id, label, cast(list_sum(list_transform(range(0, 63), lambda i: case when v[i + 1] > 0 then cast(1 as hugeint) << cast(i as integer) else 0 end)) as bigint) as code from e)"
+@query(f"with {_CODES} select id, code from c")
+def binary_signature(spark, d):
+    return _emb(spark, d).select("id", V.sign_code(F.col("vec"), 0, 64).alias("code"))
 
 
 def _codes(spark, d):
-    return _emb(spark, d).select("id", "label", V.sign_code(F.col("vec"), 0, 63).alias("code"))
+    return _emb(spark, d).select("id", "label", V.sign_code(F.col("vec"), 0, 64).alias("code"))
+
+
+def _phash(spark, d):
+    return table(spark, d, "room_images").where("phash IS NOT NULL").select(F.col("image_id").alias("id"), F.col("phash").alias("code"))
+
+
+_PHASH = "c as (select image_id as id, phash as code from room_images where phash is not null)"
 
 
-@query(f"with {_CODES} select a.id as a_id, b.id as b_id, cast(bit_count(xor(a.code, b.code)) as integer) as dist from c a join c b on a.id < b.id where bit_count(xor(a.code, b.code)) <= 8")
+@query(f"with {_PHASH} select a.id as a_id, b.id as b_id, cast(bit_count(xor(a.code, b.code)) as integer) as dist from c a join c b on a.id < b.id where bit_count(xor(a.code, b.code)) <= 6")
 def hamming_self_join(spark, d):
-    return search.hamming_self_join(_codes(spark, d), 8, 63)
+    return search.hamming_self_join(_phash(spark, d), 6)
 
 
-@query(f"with {_CODES} select a.id as a_id, b.id as b_id, cast(bit_count(xor(a.code, b.code)) as integer) as dist from c a join c b on a.id % 20 = 0 where bit_count(xor(a.code, b.code)) <= 10")
+@query(f"with {_PHASH} select a.id as a_id, b.id as b_id, cast(bit_count(xor(a.code, b.code)) as integer) as dist from c a join c b on a.id % 20 = 0 and a.id <> b.id where bit_count(xor(a.code, b.code)) <= 10")
 def hamming_join(spark, d):
+    c = _phash(spark, d)
+    return search.hamming_join(c.where(F.col("id") % 20 == 0), c, 10).where("a_id <> b_id")
+
+
+@query(f"with {_CODES} select q.id as a_id, b.id as b_id, cast(bit_count(xor(q.code, b.code)) as integer) as dist from c q join c b on q.id % 20 = 0 and q.id <> b.id where bit_count(xor(q.code, b.code)) <= 20")
+def hamming_wide_join(spark, d):
     c = _codes(spark, d)
-    return search.hamming_join(c.where(F.col("id") % 20 == 0), c, 10, 63)
+    return search.hamming_join(c.where(F.col("id") % 20 == 0), c, 20).where("a_id <> b_id")
 
 
-@query(f"with {_CODES} select q.id as qid, b.id as id, cast(bit_count(xor(q.code, b.code)) as integer) as dist from c q join c b on q.label = b.label where q.id % 20 = 0 and bit_count(xor(q.code, b.code)) <= 20")
+@query(f"with {_CODES} select q.id as qid, b.id as id, cast(bit_count(xor(q.code, b.code)) as integer) as dist from c q join c b on q.label = b.label and q.id <> b.id where q.id % 20 = 0 and bit_count(xor(q.code, b.code)) <= 24")
 def ivf_query(spark, d):
     c = _codes(spark, d).withColumnRenamed("label", "key")
     q = c.where(F.col("id") % 20 == 0).select("key", F.col("id").alias("qid"), F.col("code").alias("qcode"))
-    return search.ivf_query(c, q, 20)
+    return search.ivf_query(c, q, 24).where("id <> qid")
+
+
+@query(f"with {_CODES} select a.id as a_id, b.id as b_id, cast(bit_count(xor(a.code, b.code)) as integer) as dist from c a join c b on a.label = b.label and a.id < b.id where bit_count(xor(a.code, b.code)) <= 20")
+def ivf_cross_match(spark, d):
+    return search.ivf_cross(_codes(spark, d).withColumnRenamed("label", "key"), 20)
+
+
+@query(f"""with {_CODES}, w as (select label, ln((select count(*) from c) / count(*)) as weight from c group by label), h as (select q.id as qid, b.id as id, q.label, cast(bit_count(xor(q.code, b.code)) as double) as dist from c q join c b on q.label = b.label and q.id <> b.id where q.id % 20 = 0)
+ select qid, id, round(exp(-dist * dist / 256.0) * weight * weight, 6) as score from h join w on h.label = w.label where dist <= 24""")
+def ivf_score_map(spark, d):
+    c = _codes(spark, d).withColumnRenamed("label", "key")
+    q = c.where(F.col("id") % 20 == 0).select("key", F.col("id").alias("qid"), F.col("code").alias("qcode"))
+    hits = search.ivf_query(c, q, 24).where("id <> qid").join(c.select("id", "key"), "id")
+    total = c.count()
+    weights = c.groupBy("key").agg(F.log(F.lit(float(total)) / F.count(F.lit(1))).alias("weight"))
+    return search.ivf_scores(hits, weights, 16.0).withColumn("score", _r("score"))
 
 
 @query("with n as (select label, count(*) as n from embeddings group by label) select count(*) as cells, cast(sum(n) as bigint) as elements, round(count(*) * sum(n * n) / pow(sum(n), 2), 6) as imbalance from n")
