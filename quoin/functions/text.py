@@ -94,25 +94,47 @@ def _shared(a: str, b: str) -> int:
     return (Counter(a) & Counter(b)).total()
 
 
-def similarity_above(least: float, swap: bool = False):
-    """Column function of the ratio, or with ``swap`` of the token-swap ratio, that gives 0 where it can't be above ``least``.
+def similarity_from(swap: bool = False):
+    """Column function (a, b, least) of the ratio, or with ``swap`` of the token-swap ratio, that gives 0 where it can't be above ``least``.
 
     The matching characters are no more than the shared ones; names that leave tokens out are no shorter than those.
     """
 
     @F.pandas_udf(T.DoubleType())
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    def similarity(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
         out = []
-        for x, y in zip(a, b):
+        for x, y, low in zip(a, b, least):
             x, y = x or "", y or ""
             m = _shared(x, y)
             top = (2 * m / (min(len(x), len(y)) + m) if swap else 2 * m / (len(x) + len(y))) if m else 0.0
-            out.append(0.0 if top <= least else swap_ratio_of(x, y, least) if swap else ratio_of(x, y))
+            out.append(0.0 if top <= low else swap_ratio_of(x, y, low) if swap else ratio_of(x, y))
         return pd.Series(out, dtype="float64")
 
     return similarity
 
 
+def similarity_above(least: float, swap: bool = False):
+    """similarity_from for one ``least``."""
+    return lambda a, b: similarity_from(swap)(a, b, F.lit(float(least)))
+
+
+#: Groups of characters counted by ``letters``.
+LETTER_GROUPS = 24
+
+
+def letters(c: Column) -> Column:
+    """How many characters of each of LETTER_GROUPS groups a name has."""
+    at = F.transform(F.split(c, ""), lambda x: F.when(x != "", F.ascii(x) % LETTER_GROUPS))
+    return F.transform(F.sequence(F.lit(0), F.lit(LETTER_GROUPS - 1)), lambda i: F.size(F.filter(at, lambda x: x == i)))
+
+
+def shared_bound(bag_a: Column, bag_b: Column, a: Column, b: Column, swap: bool = False) -> Column:
+    """No ratio (or token-swap ratio) of two names is above this, by the characters they share."""
+    m = F.aggregate(F.zip_with(bag_a, bag_b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    whole = F.least(F.length(a), F.length(b)) + m if swap else F.length(a) + F.length(b)
+    return F.coalesce(F.try_divide(2.0 * m, whole), F.lit(0.0))
+
+
 def ratio_bound(a: Column, b: Column) -> Column:
     """No ratio is above twice the shorter length over both: a filter before the Python comparison."""
     return F.coalesce(F.try_divide(2 * F.least(F.length(a), F.length(b)), F.length(a) + F.length(b)), F.lit(0.0))

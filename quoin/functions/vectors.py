@@ -35,7 +35,7 @@ def chi2(a: Column, b: Column, eps: float = 1e-10) -> Column:
 
 
 def intersection(a: Column, b: Column) -> Column:
-    return _fold(a, b, F.least)
+    return _fold(a, b, lambda x, y: F.least(x, y))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -52,8 +52,9 @@ def candidates(src: DataFrame, tgt: DataFrame, km: float, least: float, stopword
         local = F.col("words")
     near = near.withColumn("a", text.normalize(F.col("name_a"), local)).withColumn("b", text.normalize(F.col("name_b"), local))
     near = near.withColumn("fa", text.normalize(F.col("name_a"), stopwords=False)).withColumn("fb", text.normalize(F.col("name_b"), stopwords=False))
-    kept = spread(near).withColumn("name_sim_sw", text.similarity_above(least, True)("fa", "fb")).where(F.col("name_sim_sw") > least)
-    return kept.select("src_id", "tgt_id", text.ratio("a", "b").alias("name_sim"), "name_sim_sw", "dist_m")
+    near = checkpoint(near.select("src_id", "tgt_id", "dist_m", "a", "b", "fa", "fb"))
+    kept = compared(near.select("src_id", "tgt_id", "dist_m", F.col("a").alias("na"), F.col("b").alias("nb"), F.col("fa").alias("a"), F.col("fb").alias("b")), least, True)
+    return kept.select("src_id", "tgt_id", text.ratio("na", "nb").alias("name_sim"), F.col("score").alias("name_sim_sw"), "dist_m")
 
 
 def assign(edges: DataFrame, score: Column | str = "score") -> DataFrame:
@@ -62,27 +63,46 @@ def assign(edges: DataFrame, score: Column | str = "score") -> DataFrame:
     Done in rounds: every edge that is the best of both its ends is taken at once, which gives the same pairs as
     taking edges one by one. Ties go by src_id, then tgt_id. The order is total, so each round takes at least one.
     """
-    left = edges.withColumn("__s", score if isinstance(score, Column) else F.col(score)).where(F.col("__s").isNotNull())
-    left = checkpoint(left.dropDuplicates(["src_id", "tgt_id"]))
+    edges = edges.withColumn("__s", score if isinstance(score, Column) else F.col(score)).where(F.col("__s").isNotNull())
+    left = edges = checkpoint(edges.dropDuplicates(["src_id", "tgt_id"]))
     taken = None
-    while not left.isEmpty():
-        order = (F.desc("__s"), "src_id", "tgt_id")
-        a, b = (F.row_number().over(Window.partitionBy(c).orderBy(*order)) for c in ("src_id", "tgt_id"))
-        best = checkpoint(left.withColumn("__a", a).withColumn("__b", b).where("__a = 1 AND __b = 1").drop("__a", "__b"))
+    while True:
+        # The best edge of each end, as one aggregation with a partial one before the shuffle.
+        order = F.struct((-F.col("__s")).alias("s"), F.col("src_id").alias("a"), F.col("tgt_id").alias("b"))
+        of_a, of_b = (left.groupBy(c).agg(F.min(order).alias("o")).select("o") for c in ("src_id", "tgt_id"))
+        pick = of_a.join(of_b, "o", "left_semi").select(F.col("o.a").alias("src_id"), F.col("o.b").alias("tgt_id"))
+        best = checkpoint(edges.join(pick, ["src_id", "tgt_id"], "left_semi"))
+        if best.isEmpty():
+            return (best if taken is None else taken).drop("__s")
         taken = best if taken is None else taken.unionByName(best)
-        left = checkpoint(left.join(best.select("src_id"), "src_id", "left_anti").join(best.select("tgt_id"), "tgt_id", "left_anti"))
-    return (left if taken is None else taken).drop("__s")
+        left = edges.join(taken.select("src_id"), "src_id", "left_anti").join(taken.select("tgt_id"), "tgt_id", "left_anti")
 
 
-def _scored(src: DataFrame, tgt: DataFrame, km: float, least: float, swap: bool) -> DataFrame:
-    """Pairs within km whose one similarity that is asked for is above ``least``; Python sees only those whose lengths allow it."""
+def compared(pairs: DataFrame, least, swap: bool = False) -> DataFrame:
+    """pairs(a, b, …) with ``score``, the similarity of the two names, where it is above the column or number ``least``; other rows drop out.
+
+    Rows are first ruled out by the characters the names share, then each two distinct names are compared once,
+    however many rows hold them. The lowest ``least`` is what Python is asked for.
+    """
+    least = least if isinstance(least, Column) else F.lit(float(least))
+    bag = lambda df, c: df.select(c).distinct().select(c, text.letters(F.col(c)).alias(f"bag_{c}"))
+    rows = pairs.withColumn("__least", least)
+    two = rows.groupBy("a", "b").agg(F.min("__least").alias("__low"))
+    two = two.where(text.ratio_bound(F.col("a"), F.col("b")) > F.col("__low")) if not swap else two
+    two = two.join(bag(two, "a"), "a").join(bag(two, "b"), "b")
+    top = text.shared_bound(F.col("bag_a"), F.col("bag_b"), F.col("a"), F.col("b"), swap)
+    two = spread(two.where(top > F.col("__low")).select("a", "b", "__low")).withColumn("score", text.similarity_from(swap)("a", "b", "__low"))
+    return rows.join(two.where(F.col("score") > F.col("__low")).select("a", "b", "score"), ["a", "b"]).where(F.col("score") > F.col("__least")).drop("__least")
+
+
+def _scored(src: DataFrame, tgt: DataFrame, passes: list[tuple], swap: bool) -> DataFrame:
+    """Pairs some pass can take: no further apart than its distance and, at that distance, more alike than the least any asks for."""
     keep = not swap
     a = src.select("src_id", text.normalize(F.col("name"), stopwords=keep).alias("a"))
     b = tgt.select("tgt_id", text.normalize(F.col("name"), stopwords=keep).alias("b"))
-    near = radius_join(src, tgt, km).join(a, "src_id").join(b, "tgt_id")
-    if not swap:
-        near = near.where(text.ratio_bound(F.col("a"), F.col("b")) > least)
-    return spread(near).select("src_id", "tgt_id", "dist_m", text.similarity_above(least, swap)("a", "b").alias("score")).where(F.col("score") > least)
+    near = checkpoint(radius_join(src, tgt, max(p[0] for p in passes)).join(a, "src_id").join(b, "tgt_id"))
+    asks = F.array(*(F.when(F.col("dist_m") <= km * 1000, F.lit(float(least))) for km, least, *_ in passes))
+    return compared(near, F.array_min(asks), swap).select("src_id", "tgt_id", "dist_m", "score")
 
 
 def cascade(src: DataFrame, tgt: DataFrame, passes=CASCADE) -> DataFrame:
@@ -92,8 +112,7 @@ def cascade(src: DataFrame, tgt: DataFrame, passes=CASCADE) -> DataFrame:
     """
     edges: dict[bool, DataFrame] = {}
     for swap in {p[3] for p in passes}:
-        own = [p for p in passes if p[3] == swap]
-        edges[swap] = checkpoint(_scored(src, tgt, max(p[0] for p in own), min(p[1] for p in own), swap))
+        edges[swap] = checkpoint(_scored(src, tgt, [p for p in passes if p[3] == swap], swap))
     done = None
     for step, (km, least, only, swap) in enumerate(passes):
         left = edges[swap].where((F.col("dist_m") <= km * 1000) & (F.col("score") > least))
@@ -138,3 +157,28 @@ def suspicious(pairs: DataFrame, rules: DataFrame) -> DataFrame:
 def within_ratio(df: DataFrame, group: str, value: str, ratio: float) -> DataFrame:
     """Rows whose value is below ``ratio`` times the least of their group."""
     return df.withColumn("__least", F.min(value).over(Window.partitionBy(group))).where(F.col(value) < F.col("__least") * ratio).drop("__least")
+
+
+def geoname(pairs: DataFrame) -> DataFrame:
+    """pairs(name_sim, dist_m) with ``geoname_sim``: nearness times the square of the names' similarity."""
+    return pairs.withColumn("geoname_sim", geo.dist_to_sim(F.col("dist_m")) * F.col("name_sim") * F.col("name_sim"))
+
+
+def chain_similarity(pairs: DataFrame, known: bool = True) -> DataFrame:
+    """pairs(chain_a, chain_b, …) with ``chain_sim`` and ``chain_sim_sw``, the ratio and token-swap ratio of the chains; 0 for all where the source has no chains."""
+    if not known:
+        return pairs.withColumn("chain_sim", F.lit(0.0)).withColumn("chain_sim_sw", F.lit(0.0))
+    two = pairs.select("chain_a", "chain_b").distinct()
+    x, y = text.normalize(F.col("chain_a"), stopwords=False), text.normalize(F.col("chain_b"), stopwords=False)
+    two = two.select("chain_a", "chain_b", text.ratio(x, y).alias("chain_sim"), text.swap_ratio(x, y).alias("chain_sim_sw"))
+    met = (pairs["chain_a"].eqNullSafe(two["chain_a"])) & (pairs["chain_b"].eqNullSafe(two["chain_b"]))
+    return pairs.join(two, met, "left").drop(two["chain_a"]).drop(two["chain_b"])
+
+
+def ranked_candidates(pairs: DataFrame, taken: DataFrame | None = None, least: float = 0.5, k: int = 5) -> DataFrame:
+    """pairs(src_id, tgt_id, score) above ``least``, the k best of each source for a person to choose from; those of ``taken``(src_id) are left out."""
+    left = pairs.where(F.col("score") > least)
+    if taken is not None:
+        left = left.join(taken.select("src_id"), "src_id", "left_anti")
+    rank = F.row_number().over(Window.partitionBy("src_id").orderBy(F.desc("score"), "tgt_id"))
+    return left.withColumn("rank", rank).where(F.col("rank") <= k)
