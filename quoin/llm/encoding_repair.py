@@ -2,15 +2,16 @@
 
 A noisy channel is a pair (read, true): bytes of the encoding ``true`` were decoded as ``read``. For a
 channel the characters of a token give back their bytes; the bytes are a lattice in which each place can be
-kept as it stands or read, with as many bytes as it takes, as a character of the true encoding; a byte that
-was lost (U+FFFD, or a sequence that lacks its end) is a wildcard. Viterbi search finds the likeliest path
-under a language model of the corpus itself: counts of its words and of its character pairs. A token is
-damaged if the best path of some channel is likelier than the token as it stands by ``MARGIN``; a token
-with U+FFFD or a C1 control character always is.
+kept as it stands or read, with as many bytes as it takes, as a character of the true encoding. A byte that
+was lost is a wildcard, whichever byte of a character it is: one that U+FFFD or a question mark stands for, or one
+that is gone without a trace, which costs LOST. Where every byte is a character, as in single-byte encodings, a
+wildcard is any character. Viterbi search finds the likeliest path under a language model of the corpus itself:
+counts of its words and of its character pairs. A token is damaged if the best path of some channel is likelier
+than the token as it stands by ``MARGIN``; a token with U+FFFD or a C1 control character always is.
 
 All statistics cover all values. Only distinct tokens are decoded, once each; the model holds the words and
-character pairs whose share of all is at least WORD_SHARE and PAIR_SHARE, so at most 1/share entries,
-whatever the size of the data. Runs of digits count as one digit.
+character pairs that stand WORD_SHARE and PAIR_SHARE times per token or more, so at most 1 / WORD_SHARE words and
+(mean length + 1) / PAIR_SHARE pairs, whatever the size of the data. Runs of digits count as one digit.
 """
 
 from __future__ import annotations
@@ -31,9 +32,8 @@ PAIR_SHARE = 1e-6
 #: Log-odds by which a repaired token must be likelier: if the corpus knows the repaired word, and if not.
 MARGIN, MARGIN_UNKNOWN, MARGIN_UTF8 = 2.0, 3.5, 0.5
 SMOOTH, ALPHABET = 0.02, 4000
-#: A wildcard tries this many characters, the likeliest in its place.
-WILDCARD_WIDTH = 40
-ROUNDS = 3
+#: Log-odds of a byte that is gone without a trace.
+LOST = 3.0
 MEMO_LIMIT = 200_000
 
 SINGLE = ("cp1252", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "mac_roman", "cp437", "cp850", "cp1253", "cp1254", "cp874", "cp1256", "iso8859-5", "iso8859-7")
@@ -87,10 +87,11 @@ class Model:
         self.none = -math.log(ALPHABET)
         self.pairs = {p: math.log(n + SMOOTH) - math.log(first[p[0]] + SMOOTH * ALPHABET) for p, n in pairs.items()}
         after: dict[str, list] = {}
-        for p, n in sorted(pairs.items(), key=lambda x: -x[1]):
-            if len(after.setdefault(p[0], [])) < WILDCARD_WIDTH:
-                after[p[0]].append(p[1])
+        for p in pairs:
+            if p[1] > "\x7f" and p[1] != "�":
+                after.setdefault(p[0], []).append(p[1])
         self.after = after
+        self._sequences: dict[str, tuple[dict, dict]] = {}
         self.memo: dict[str, str] = {}
 
     def step(self, a: str, b: str) -> float:
@@ -110,43 +111,68 @@ class Model:
         chain = self.chain(s)
         return chain if word is None or word < chain else word
 
-    def lattice_utf8(self, s: str, got: str) -> list[str]:
-        """Likeliest path, and the path of all bytes, where characters of s (``got``: their bytes) may be those of UTF-8.
-
-        The last byte of a sequence can be lost: at the end of the token, or where U+FFFD stands.
+    def sequences(self, true: str) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+        """(whole, torn): the corpus' characters by their bytes in an encoding, and by their bytes with one of them lost (\x00)."""
+        if true not in self._sequences:
+            whole: dict[str, list[str]] = {}
+            torn: dict[str, list[str]] = {}
+            for c in self.first:
+                if c > "\x7f" and c != "�":
+                    try:
+                        raw = c.encode(true).decode("latin-1")
+                    except UnicodeEncodeError:
+                        continue
+                    if len(raw) > 1:
+                        whole.setdefault(raw, []).append(c)
+                        for j in range(len(raw)):
+                            torn.setdefault(raw[:j] + "\x00" + raw[j + 1 :], []).append(c)
+            self._sequences[true] = whole, torn
+        return self._sequences[true]
+
+    def lattice(self, s: str, got: str, true: str, torn_too: bool = False) -> list[str]:
+        """Likeliest path, and the path of all whole sequences, where characters of s (``got``: their bytes) may be bytes of the encoding ``true``.
+
+        Each place is kept, or read with the bytes behind it as a character; one byte of it can be lost, at any place.
+        Bytes gone without a trace are only tried at the token's end, or everywhere with ``torn_too``.
         """
-        n = len(s)
-        edges: list[list[tuple[int, str]]] = [[] for _ in range(n)]
-        for i, lead in enumerate(got):
-            need = 1 if "\xc2" <= lead <= "\xdf" else 2 if "\xe0" <= lead <= "\xef" else 3 if "\xf0" <= lead <= "\xf4" else 0
-            if not need or (lead == s[i] and lead < "\xa0"):
+        whole, torn = self.sequences(true)
+        n, high = len(s), [c > "\x7f" or c == "?" for c in got]
+        edges: list[list[tuple[int, str, float]]] = [[] for _ in range(n)]
+        any_edge, marked, utf8 = False, "�" in got or "?" in got, true == "utf-8"
+        for i in range(n):
+            if not high[i] or (utf8 and not marked and not torn_too and not "\xc2" <= got[i] <= "\xf4"):
                 continue
-            tail = got[i + 1 : i + 1 + need]
-            k = next((j for j, x in enumerate(tail) if not "\x80" <= x <= "\xbf"), len(tail))
-            options = ()
-            if k == need:
-                options, width = (tail,), need + 1
-            elif k == need - 1 and (i + 1 + k == n or s[i + 1 + k] == "�"):
-                options, width = (tail[:k] + chr(x) for x in range(0x80, 0xC0)), k + 1 + (i + 1 + k < n)
-            for x in options:
-                try:
-                    edges[i].append((width, (lead + x).encode("latin-1").decode("utf-8")))
-                except UnicodeDecodeError:
-                    pass
-        if not any(edges):
+            for size in (2, 3, 4):
+                part = got[i : i + size]
+                if len(part) == size:
+                    if part in whole:
+                        edges[i] += [(size, c, 0.0) for c in whole[part]]
+                    marks = [j for j, c in enumerate(part) if c in "�?"] if marked else ()
+                    if len(marks) == 1:
+                        j = marks[0]
+                        edges[i] += [(size, c, 0.0) for c in torn.get(part[:j] + "\x00" + part[j + 1 :], ())]
+                # A byte gone without a trace: something must be left that shows the rest was a sequence.
+                if not torn_too and (i + size - 1 != n or not utf8):
+                    continue
+                short = got[i : i + size - 1]
+                if len(short) == size - 1 and short[0] > "\x7f" and "�" not in short and (size > 2 or not utf8 or "\xc2" <= short <= "\xdf"):
+                    for j in range(size) if torn_too else (size - 1,):
+                        edges[i] += [(size - 1, c, LOST if torn_too else LOST / 2) for c in torn.get(short[:j] + "\x00" + short[j:], ())]
+            any_edge |= bool(edges[i])
+        if not any_edge:
             return []
         best: list[dict[str, tuple[float, str]]] = [{} for _ in range(n + 1)]
         best[0]["\x02"] = (0.0, "")
         for i in range(n):
             for a, (score, path) in best[i].items():
-                for width, c in [(1, s[i]), *edges[i]]:
-                    total = score + self.step(a, c)
+                for width, c, cost in [(1, s[i], 0.0), *edges[i]]:
+                    total = score + self.step(a, c) - cost
                     old = best[i + width].get(c)
                     if old is None or total > old[0]:
                         best[i + width][c] = (total, path + c)
         out, i = [], 0
         while i < n:
-            width, c = edges[i][0] if len(edges[i]) == 1 else (1, s[i])
+            width, c = next(((w, x) for w, x, cost in edges[i] if not cost and "�" not in s[i : i + w]), (1, s[i]))
             out.append(c)
             i += width
         return [max((score + self.step(a, "\x03"), path) for a, (score, path) in best[n].items())[1], "".join(out)]
@@ -159,7 +185,7 @@ class Model:
                 best = min(best, (counts.get(padded[i : i + 2], 0), i))
         return best[1], best[0]
 
-    def candidates(self, s: str) -> dict[str, bool]:
+    def candidates(self, s: str, torn_too: bool = False) -> dict[str, bool]:
         """What the channels make of a token; True for those through UTF-8, whose byte pattern is evidence by itself.
 
         A channel between single-byte encodings is only followed if it makes the token's rarest pair a commoner one.
@@ -175,7 +201,7 @@ class Model:
                 continue
             done.add(got)
             if _UTF8.search(got):
-                for path in self.lattice_utf8(s, got):
+                for path in self.lattice(s, got, "utf-8", torn_too):
                     out[path] = True
             if wide > 1:
                 if max(got) <= "\xff":
@@ -186,10 +212,16 @@ class Model:
                         except UnicodeDecodeError as e:
                             if e.end == len(raw) and e.start > 1:  # the last byte is lost
                                 out.setdefault(raw[: e.start].decode(true) + "�", False)
+                            if torn_too and len(raw) > 2:
+                                for path in self.lattice(s, got, true, True):
+                                    out.setdefault(path, False)
                 elif _LONG.search(got):
                     for true in MULTI:
                         if (cand := _runs(got, true)) is not None:
                             out.setdefault(cand, False)
+                        elif "�" in s:
+                            for path in self.lattice(s, got, true, torn_too):
+                                out.setdefault(path, False)
             for true, table in _SWAPS[read]:
                 cand = s.translate(table)
                 if cand != s and counts.get(("\x02" + cand + "\x03")[at : at + 2], 0) > rare and (true not in UNLIKELY or cand in self.words):
@@ -210,7 +242,10 @@ class Model:
         return {x: u for x, u in out.items() if all(c <= "\x7f" or c == "�" or c in first for c in x)}
 
     def fill(self, s: str) -> str:
-        """Replace each U+FFFD by the likeliest character; a token of which more than a third is lost stays as it is."""
+        """Replace each U+FFFD by the likeliest character; a token of which more than a third is lost stays as it is.
+
+        All characters the corpus has behind the one before are tried, and all paths kept that end differently.
+        """
         if s.count("�") * 3 > len(s) and len(s) > 2:
             return s
         beam = {"\x02": (0.0, "")}
@@ -218,14 +253,12 @@ class Model:
             nxt: dict[str, tuple[float, str]] = {}
             for a, (score, path) in beam.items():
                 for x in self.after.get(a, ()) if c == "�" else (c,):
-                    if c == "�" and x <= "\x7f":
-                        continue
                     got = score + self.step(a, x)
                     if x not in nxt or got > nxt[x][0]:
                         nxt[x] = (got, path + x)
             if not nxt:
                 return s
-            beam = dict(sorted(nxt.items(), key=lambda kv: -kv[1][0])[:WILDCARD_WIDTH])
+            beam = nxt
         got = max((score + self.step(a, "\x03"), path) for a, (score, path) in beam.items())[1]
         if s.count("�") == 1 and got not in self.words:  # a known word that fits is better than a likely chain
             before, after = s.split("�")
@@ -238,7 +271,7 @@ class Model:
         if s in self.memo:
             return self.memo[s]
         now, score = s, self.score(s)
-        for _ in range(ROUNDS):
+        while True:  # each round makes the token likelier by a margin, so it ends
             cands = self.candidates(now)
             gain, best, cand = max(((self.score(x) - score - self.margin(x, u), self.score(x), x) for x, u in cands.items()), default=(-1.0, 0.0, now))
             if gain <= 0:
@@ -248,6 +281,10 @@ class Model:
                 if best - score <= MARGIN_UTF8:
                     break
             now, score = cand, best
+        if now not in self.words and (now != s or "�" in s):
+            # Damaged for certain, and not a word yet: bytes may be gone.
+            best = max(((self.score(x), x) for x in self.candidates(s, True)), default=(score, now))
+            now = best[1] if best[0] > score else now
         if "�" in now:
             now = self.fill(now)
         self.memo[s] = now
