@@ -388,3 +388,23 @@ def symbol_codes(spark, d):
     from quoin.operators import images
 
     return _emb(spark, d).select("id", images.symbol_code(F.col("vec")).alias("code")).where("length(code) >= 8")
+
+
+# --- models and similarities that SQL can't say -----------------------------------------------------------------------
+@query()
+def linkage_em(spark, d):
+    from quoin.plans.models import linked_by_em
+
+    return linked_by_em(spark, d)
+
+
+@query()
+def geoname_similarity(spark, d):
+    near = matching.candidates(_src(spark, d), _tgt(spark, d), 0.3, 0.5)
+    return matching.geoname(near).select("src_id", "tgt_id", _r("geoname_sim").alias("geoname_sim"))
+
+
+@query()
+def ranked_candidates(spark, d):
+    near = matching.candidates(_src(spark, d), _tgt(spark, d), 1.0, 0.5).withColumn("score", F.round("name_sim_sw", 9))
+    return matching.ranked_candidates(near).select("src_id", "tgt_id", "score", "rank")

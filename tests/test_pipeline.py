@@ -142,3 +142,49 @@ def test_fusion_and_rooms_of_odd_rows(spark):
     assert [r["id"] for r in fusion.similar(lists).orderBy("rank").collect()] == [7, 8]
     mixed = fusion.global_local(lists.where("list_id = 'rgb'"), lists.where("list_id = 'bow'"))
     assert [r["id"] for r in mixed.orderBy("rank").collect()][0] == 7
+
+
+def test_linkage_em_finds_planted_parameters(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(4000):
+        match = rng.random() < 0.2
+        rows.append((i, match, *(int(rng.random() < (0.9 if match else p)) for p in (0.05, 0.1, 0.2)), None))
+    df = spark.createDataFrame(rows, "id int, match boolean, a int, b int, c int, d int")
+    found, scored = models.linkage_em(df, ["a", "b", "c", "d"])
+    assert abs(found["share"] - 0.2) < 0.03 and abs(found["m"]["a"] - 0.9) < 0.05 and abs(found["u"]["c"] - 0.2) < 0.03
+    assert scored.where("(match_p > 0.5) = match").count() > 0.95 * 4000
+    assert models.linkage_em(df.limit(0), ["a"])[1].count() == 0
+
+
+def test_models(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(float(x), rng.random(), float(x > 5)) for x in (rng.randrange(11) for _ in range(300))], "a double, b double, y double")
+    share = models.forest_importances(df, ["a", "b"], "y")
+    assert share["a"] > 0.8 and abs(sum(share.values()) - 1) < 1e-6
+    texts = [("clean room and bed", [1, 0, 1]), ("noisy street at night", [0, 0, 1])] * 20 + [(None, [1, 1, 1]), ("x", None)]
+    got = models.tag_models(spark.createDataFrame(texts, "text string, tags array<int>"), 3)
+    assert set(got) == {0}
+    assert {r["tag_0"] for r in got[0].transform(spark.createDataFrame([("a clean bed",)], "text string")).collect()} == {1.0}
+
+
+def test_matching_helpers(spark):
+    df = spark.createDataFrame([(1, 10, 50.0, 0.5, "Priora Inns", "Inns Priora"), (1, 11, 100.0, 1.0, None, "x"), (2, 12, 0.0, 0.4, "a", None)], "src_id int, tgt_id int, dist_m double, name_sim double, chain_a string, chain_b string")
+    assert [round(r["geoname_sim"], 6) for r in matching.geoname(df).orderBy("tgt_id").collect()] == [0.125, 0.25, 0.16]
+    sims = {r["tgt_id"]: (r["chain_sim"], r["chain_sim_sw"]) for r in matching.chain_similarity(df).collect()}
+    assert sims[10][1] == 1.0 and sims[11] == (0.0, 0.0) and {r["chain_sim"] for r in matching.chain_similarity(df, False).collect()} == {0.0}
+    ranked = matching.ranked_candidates(df.withColumn("score", F.col("name_sim")), spark.createDataFrame([(2,)], "src_id int"), 0.4)
+    assert [(r["src_id"], r["tgt_id"], r["rank"]) for r in ranked.orderBy("rank").collect()] == [(1, 11, 1), (1, 10, 2)]
+    grid = fusion.grid(spark.createDataFrame([(1, "p", 7, 0.2), (2, "p", 8, 0.6)], "qid int, list_id string, id int, dist double"), spark.createDataFrame([(1, 7), (3, 9)], "qid int, id int"), [{}, {"p": 2.0}], [0.3, 0.7])
+    assert {(r["setting"], r["threshold"], r["tp"], r["fp"], r["fn"]) for r in grid.collect()} == {(0, 0.3, 1, 0, 1), (0, 0.7, 1, 1, 1), (1, 0.3, 0, 0, 2), (1, 0.7, 1, 0, 1)}
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_shared_letters_never_rule_out_a_pair(spark, swap):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdeéł ", k=rng.randint(0, 9))).strip()
+    pairs = [(i, f"{word()} {word()}".strip(), f"{word()} {word()}".strip()) for i in range(300)]
+    df = spark.createDataFrame(pairs, "id int, a string, b string")
+    got = {r["id"]: r["score"] for r in matching.compared(df, 0.6, swap).collect()}
+    of = text.swap_ratio_of if swap else text.ratio_of
+    assert {i: round(of(a, b), 9) for i, a, b in pairs if of(a, b) > 0.6} == {i: round(x, 9) for i, x in got.items()}
