@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quoin.llm import encoding_repair, entity_match, mixing, name_variants, nn_descent, sentences, tokenizing
-from quoin.session import table
+from quoin.session import checkpoint, table
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.least("id", "neighbour").alias("image_a"), F.greatest("id", "neighbour").alias("image_b")).distinct()
 
 
+def image_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy search in the graph for the images whose id is divisible by 20, against all others: up to five each of similarity IMAGE_LEAST or more."""
+    images = table(spark, sf_dir, "room_images").select(F.col("image_id").alias("id"), "features")
+    graph = checkpoint(_image_graph(spark, sf_dir).select("id", "neighbour"))
+    got = nn_descent.greedy_search(graph, images, images.where(F.col("id") % 20 == 0), IMAGE_DIM, 6)
+    got = got.where((F.col("query") != F.col("id")) & (F.col("similarity") >= IMAGE_LEAST))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "id"))
+    return got.withColumn("rank", rank).where(F.col("rank") <= 5)
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
@@ -76,5 +86,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.split(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p1_restored": p1_restored, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "image_search": image_search}
 ORACLE: dict[str, str] = {}
