@@ -93,6 +93,8 @@ class Model:
         self.after = after
         self._sequences: dict[str, tuple[dict, dict]] = {}
         self.memo: dict[str, str] = {}
+        #: The reading under which a path through UTF-8 was found, of the token at hand.
+        self.via: dict[str, str] = {}
 
     def step(self, a: str, b: str) -> float:
         got = self.pairs.get(a + b)
@@ -163,13 +165,16 @@ class Model:
             return []
         best: list[dict[str, tuple[float, str]]] = [{} for _ in range(n + 1)]
         best[0]["\x02"] = (0.0, "")
+        pairs, floor, none = self.pairs, self.floor, self.none
         for i in range(n):
+            ways = [(1, s[i], 0.0), *edges[i]]
             for a, (score, path) in best[i].items():
-                for width, c, cost in [(1, s[i], 0.0), *edges[i]]:
-                    total = score + self.step(a, c) - cost
-                    old = best[i + width].get(c)
-                    if old is None or total > old[0]:
-                        best[i + width][c] = (total, path + c)
+                least = floor.get(a, none)
+                for width, c, cost in ways:
+                    total = score + pairs.get(a + c, least) - cost
+                    ends = best[i + width]
+                    if c not in ends or total > ends[c][0]:
+                        ends[c] = (total, path + c)
         out, i = [], 0
         while i < n:
             width, c = next(((w, x) for w, x, cost in edges[i] if not cost and "�" not in s[i : i + w]), (1, s[i]))
@@ -185,7 +190,7 @@ class Model:
                 best = min(best, (counts.get(padded[i : i + 2], 0), i))
         return best[1], best[0]
 
-    def candidates(self, s: str, torn_too: bool = False) -> dict[str, bool]:
+    def candidates(self, s: str, torn_too: bool = False, reads: tuple[str, ...] = SINGLE, multi: tuple[str, ...] = MULTI) -> dict[str, bool]:
         """What the channels make of a token; True for those through UTF-8, whose byte pattern is evidence by itself.
 
         A channel between single-byte encodings is only followed if it makes the token's rarest pair a commoner one.
@@ -195,7 +200,7 @@ class Model:
         done: set[str] = set()
         at, rare = self.rarest(s)
         wide = sum(c > "\x7f" for c in s)
-        for read in SINGLE:
+        for read in reads:
             got = s.translate(_BYTES[read])
             if got in done or not _HIGH.search(got):
                 continue
@@ -203,10 +208,11 @@ class Model:
             if _UTF8.search(got):
                 for path in self.lattice(s, got, "utf-8", torn_too):
                     out[path] = True
+                    self.via.setdefault(path, read)
             if wide > 1:
                 if max(got) <= "\xff":
                     raw = got.encode("latin-1")
-                    for true in MULTI:
+                    for true in multi:
                         try:
                             out.setdefault(raw.decode(true), False)
                         except UnicodeDecodeError as e:
@@ -216,7 +222,7 @@ class Model:
                                 for path in self.lattice(s, got, true, True):
                                     out.setdefault(path, False)
                 elif _LONG.search(got):
-                    for true in MULTI:
+                    for true in multi:
                         if (cand := _runs(got, true)) is not None:
                             out.setdefault(cand, False)
                         elif "�" in s:
@@ -271,6 +277,7 @@ class Model:
         if s in self.memo:
             return self.memo[s]
         now, score = s, self.score(s)
+        self.via.clear()
         while True:  # each round makes the token likelier by a margin, so it ends
             cands = self.candidates(now)
             gain, best, cand = max(((self.score(x) - score - self.margin(x, u), self.score(x), x) for x, u in cands.items()), default=(-1.0, 0.0, now))
@@ -282,8 +289,10 @@ class Model:
                     break
             now, score = cand, best
         if now not in self.words and (now != s or "�" in s):
-            # Damaged for certain, and not a word yet: bytes may be gone.
-            best = max(((self.score(x), x) for x in self.candidates(s, True)), default=(score, now))
+            # Damaged for certain, and not a word yet: bytes may be gone, in the channel that was found.
+            read = self.via.get(now)
+            found = self.candidates(s, True, (read,) if read else SINGLE, MULTI if _EAST.search(now) or now == s else ())
+            best = max(((self.score(x), x) for x in found), default=(score, now))
             now = best[1] if best[0] > score else now
         if "�" in now:
             now = self.fill(now)
