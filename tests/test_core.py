@@ -122,7 +122,7 @@ def test_vectors(spark):
 
 def test_image_hashes(spark):
     df = spark.createDataFrame([(list(range(64)),), ([7] * 64,), (None,)], "p array<int>")
-    got = df.select(images.average_hash(F.col("p")).alias("a"), images.otsu_hash(F.col("p")).alias("o")).collect()
+    got = df.select(images.average_hash(F.col("p")).alias("a"), images.otsu_hash(F.col("p"), F.col("p")).alias("o")).collect()
     assert got[0]["a"] == -(2**32) and got[1]["a"] == -1 and got[2]["a"] is None and got[2]["o"] is None
 
 
