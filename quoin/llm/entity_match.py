@@ -1,12 +1,11 @@
 """Records of two lists that mean the same place, matched without a common key.
 
-Each record becomes a fixed bit vector of CODE_BITS bits, one for each q-gram of its canonical name. Pairs are
-searched by multi-index Hamming hashing: the code is cut into BLOCKS blocks, and records meet in an equi-join on
-(area, block number, block value). Codes of names are sparse, so blocks without a bit say nothing and are no keys.
-What is left is still exact: let u be the number of blocks with a bit in the record that has more of them. Two codes
-at most h bits apart agree in at least u - h of those blocks, and a Dice score of DICE over n bits in all allows
-(1 - DICE) * n bits; so a pair that agrees in fewer blocks than the difference can't reach the score, and one that
-reaches it agrees in at least that many. ``exact_from`` gives the score from which this holds for a record.
+Each record becomes a fixed bit vector of CODE_BITS bits, one for each q-gram of its canonical name. Records of both
+sides meet in an equi-join on their areas, and all pairs of an area are compared by their codes: a Dice score of DICE
+over n bits in all allows (1 - DICE) * n bits of Hamming distance. No pair of an area that reaches the score is lost.
+(An index of the codes' blocks inside the areas was tried: a short name shares a block with most names of its area, so
+it made three times as many rows as there are pairs to compare.) The join is done in slices of the areas, of which
+only one's rows are on disk at a time.
 
 The area comes from the position: the cells a record's tolerance reaches into; for positions that are missing or
 coarse the half degree they name, the strip of the one number that is known, the town the name names, and, where no
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from quoin.llm import encoding_repair
 from quoin.llm import names as N
 from quoin.operators.regions import great_circle_km
-from quoin.session import checkpoint, spread
+from quoin.session import checkpoint, in_slices, packed, release, spread
 
 CODE_BITS, BLOCKS = 256, 64
 WORDS = CODE_BITS // 64
@@ -39,8 +38,12 @@ CELL_DEG, HALF_DEG = 0.02, 0.5
 TOLERANCE_KM, COARSE_KM, FAR_KM = 0.4, 20.0, 40.0
 #: Lowest Dice score of the codes of a pair, and where nothing but the names speaks for it.
 DICE, FAR_DICE = 0.55, 0.65
-#: Targets of an area beyond so many are spread over several keys, and the sources copied to each of them.
+#: Records of one side of an area beyond so many are spread over several keys, and the other side's copied to each of them.
 AREA_ROWS = 4096
+#: Slices in which areas are joined and pairs scored, one for each SLICE_ROWS records up to so many.
+SLICES, SLICE_ROWS = 4, 40_000
+#: A small table is broadcast up to so many rows, and joined by a shuffle beyond.
+BROADCAST_ROWS = 100_000
 LABEL_BOUND = 20_000
 WRONG_LABELS = 0.05
 #: Different names at exactly one position beyond this many make it a placeholder, which says no more than the half degree.
@@ -103,8 +106,8 @@ def code_of(toks: list[str]) -> tuple[list[int], int, int]:
 
 
 def exact_from(n: int, u: int) -> float:
-    """Dice score from which a record of n bits in u blocks meets every record of no more bits."""
-    return max(DICE, 1 - (u - 1) / (2 * n)) if n else 1.0
+    """Dice score from which a record of n bits in u blocks meets every record of its area: DICE, as all pairs are compared."""
+    return DICE if n else 1.0
 
 
 def _anywhere(words: list[str], single: bool) -> set[str]:
@@ -157,34 +160,52 @@ def prepare(df: DataFrame) -> DataFrame:
     return spread(mark_placeholders(df)).mapInPandas(_prepare, PREPARED)
 
 
-def _keys(at: DataFrame, name: str) -> DataFrame:
-    """(name, n, u, far, h): a row for each block with a bit of each record in each of its areas."""
-    width = CODE_BITS // BLOCKS
-    per = 64 // width
-    parts = f"filter(transform(sequence(0, {BLOCKS - 1}), i -> struct(i, shiftrightunsigned(code[i div {per}], cast(i % {per} * {width} as int)) & {(1 << width) - 1} as v)), s -> s.v != 0)"
-    cut = at.select(F.col("id").alias(name), "n", "u", "area", "salt", F.explode(F.expr(parts)).alias("s"))
-    return cut.select(name, F.col("n").alias(f"n_{name}"), F.col("u").alias(f"u_{name}"), F.xxhash64("area", "salt", "s.i", "s.v").alias("h"), F.col("area").rlike("^[vw]").alias("far"))
+def slices_of(df: DataFrame) -> int:
+    return min(SLICES, 1 + df.count() // SLICE_ROWS)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df checkpointed, and marked for broadcast if it has no more than BROADCAST_ROWS rows."""
+    df = checkpoint(df)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def near_codes(prepared: DataFrame) -> DataFrame:
     """(a, b, dice, far): records of both sides that share an area with a Dice score of DICE or more (FAR_DICE if far).
 
-    far: they only share two words of their names, or the word of a name of one. Areas that only one side has are left out before any block is made.
+    far: they only share two words of their names, or the word of a name of one.
     """
-    at = prepared.select("side", "id", "code", "n", "u", F.explode("areas").alias("area"))
-    sides = at.groupBy("area").agg(F.count_if(F.col("side") == "a").alias("na"), F.count_if(F.col("side") == "b").alias("nb")).where("na > 0 AND nb > 0")
-    shared = at.join(sides.select("area", F.greatest(F.lit(1), F.ceil(F.col("nb") / AREA_ROWS)).cast("int").alias("parts")), "area")
-    a = shared.where(F.col("side") == "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    b = shared.where(F.col("side") == "b").withColumn("salt", F.pmod(F.xxhash64("id", F.lit("salt")), F.col("parts")).cast("int"))
-    met = _keys(a, "a").join(_keys(b, "b").drop("far"), "h")
-    need = F.greatest(F.lit(1), F.greatest("u_a", "u_b") - F.floor((F.col("n_a") + F.col("n_b")) * (1 - DICE) + 1e-9)).cast("int")
-    pairs = met.select("a", "b", need.alias("need"), "far").groupBy("a", "b").agg(F.count(F.lit(1)).alias("blocks"), F.first("need").alias("need"), F.min("far").alias("far"))
-    pairs = pairs.where(F.col("blocks") >= F.col("need")).select("a", "b", "far")
-    of = lambda side: prepared.where(F.col("side") == side).select(F.col("id").alias(side), F.col("code").alias(f"code_{side}"), F.col("n").alias(f"n_{side}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    common = sum((F.bit_count(F.col("code_a")[i].bitwiseAND(F.col("code_b")[i])) for i in range(WORDS)), F.lit(0))
-    dice = 2 * common / (F.col("n_a") + F.col("n_b"))
-    return both.withColumn("dice", dice).where(F.col("dice") >= F.when(F.col("far"), FAR_DICE).otherwise(DICE)).select("a", "b", "dice", "far")
+    spark = prepared.sparkSession
+    code = [F.col("code")[i].alias(f"c{i}") for i in range(WORDS)]
+    at = prepared.where("n > 0").select("side", "id", *code, F.explode("areas").alias("area"))
+    at = at.select("side", "id", *(f"c{i}" for i in range(WORDS)), F.col("area").rlike("^[vw]").alias("far"), F.xxhash64("area").alias("area"))
+    rows = at.groupBy("area").agg(F.count_if(F.col("side") == "a").alias("na"), F.count_if(F.col("side") == "b").alias("nb")).where("na > 0 AND nb > 0")
+    parts = lambda n: F.ceil(F.col(n) / AREA_ROWS).cast("int")
+    crowded = small(rows.where(F.greatest("na", "nb") > AREA_ROWS).select("area", parts("na").alias("pa"), parts("nb").alias("pb")))
+    release(spark)
+    slices = slices_of(prepared)
+
+    def side(own: DataFrame, name: str) -> DataFrame:
+        """A record of a crowded area has the key of one of its own side's parts with each of the other side's."""
+        mine, other = ("pa", "pb") if name == "a" else ("pb", "pa")
+        salt = F.pmod(F.xxhash64("id", F.lit("salt")), F.coalesce(mine, F.lit(1))).cast("int")
+        own = own.where(F.col("side") == name).join(crowded, "area", "left").withColumn("salt", salt)
+        own = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+        key = F.xxhash64("area", "salt", "with") if name == "a" else F.xxhash64("area", "with", "salt")
+        return own.select(key.alias("h"), F.col("id").alias(name), *(F.col(f"c{i}").alias(f"{name}{i}") for i in range(WORDS)), *(["far"] if name == "a" else []))
+
+    bits = lambda name: sum((F.bit_count(f"{name}{i}") for i in range(WORDS)), F.lit(0))
+    common = sum((F.bit_count(F.col(f"a{i}").bitwiseAND(F.col(f"b{i}"))) for i in range(WORDS)), F.lit(0))
+
+    def near(k: int) -> DataFrame:
+        own = at.where(F.pmod("area", F.lit(slices)) == k)
+        both = side(own, "a").join(side(own, "b"), "h").select("a", "b", "far", (2 * common / (bits("a") + bits("b"))).alias("dice"))
+        both = both.where(F.col("dice") >= F.when(F.col("far"), FAR_DICE).otherwise(DICE))
+        return both.groupBy("a", "b").agg(F.first("dice").alias("dice"), F.min("far").alias("far"))
+
+    if slices == 1:
+        return near(0)
+    return in_slices(spark, slices, near).groupBy("a", "b").agg(F.first("dice").alias("dice"), F.min("far").alias("far"))
 
 
 def anywhere(few: DataFrame, every: DataFrame) -> DataFrame:
@@ -267,11 +288,27 @@ def match(source: DataFrame, target: DataFrame, towns: DataFrame, labelled: Data
     a = source.select(F.lit("a").alias("side"), F.col("rec_id").alias("id"), "name", "chain", "lat", "lng", F.lit(None).cast("string").alias("city"))
     named = towns.groupBy("city_id").agg(F.min("city_name").alias("city"))
     b = target.join(named, "city_id", "left").select(F.lit("b").alias("side"), F.col("bkg_id").alias("id"), "name", "chain", "lat", "lng", "city")
-    prepared = checkpoint(prepare(clean_names(a.unionByName(b))))
+    spark = source.sparkSession
+    cleaned = checkpoint(clean_names(a.unionByName(b)))
+    release(spark)
+    read = packed(prepare(cleaned))
+    del cleaned
+    release(spark)
     who = source.select(F.col("rec_id").alias("a"), "leo_id").where(F.col("leo_id").isNotNull())
-    pairs = near_codes(prepared)
-    scored = score_pairs(pairs, prepared).where(F.col("score") > 0).join(who, "a")
+    codes = read("side", "id", "code", "n", "u", "areas")
+    slices = slices_of(codes)
+    pairs = checkpoint(near_codes(codes))
+    release(spark)
+    records = read("side", "id", "toks", "chain", "pos", "loose", "city")
+
+    def score(k: int) -> DataFrame:
+        mine = lambda key: F.pmod(F.xxhash64(key), F.lit(slices)) == k
+        return score_pairs(pairs.where(mine("a")), records.where((F.col("side") == "b") | mine("id"))).where(F.col("score") > 0)
+
+    scored = in_slices(spark, slices, score).join(who, "a")
     scored = checkpoint(scored.groupBy("leo_id", "b").agg(F.max(F.when(~F.col("loose"), F.col("score"))).alias("near"), F.max("score").alias("score"), F.min("far").alias("far"), F.first("place").alias("place")))
+    del pairs, records, codes, read, score
+    release(spark)
     known = labelled.where(F.col("label").isNotNull()).select("leo_id", F.col("bkg_id").alias("b"), "label").orderBy(F.xxhash64("leo_id", "bkg_id")).limit(LABEL_BOUND)
     known = known.join(scored, ["leo_id", "b"], "left").select("label", F.coalesce("score", F.lit(0.0)).alias("score")).collect()
     slope, mid = fit_curve([r["score"] for r in known], [r["label"] for r in known])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def prepare(spark: SparkSession) -> None:
@@ -44,3 +48,59 @@ def checkpoint(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="quoin-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def release(spark: SparkSession) -> None:
+    """Free the files of shuffles and checkpoints that nothing refers to any more; else they stay until the driver happens to collect its garbage.
+
+    The listeners hold the plan of the last action until another event comes, so an empty job goes before; and Py4J
+    tells the JVM of objects that Python let go only once a second, so what waits there is handed over now.
+    """
+    spark.sparkContext.emptyRDD().count()
+    gc.collect()
+    waiting = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    try:
+        while waiting:
+            client, target = waiting.pop()
+            client.garbage_collect_object(target, False)
+    except IndexError:  # Py4J's own thread took the last
+        pass
+    spark.sparkContext._jvm.System.gc()
+
+
+def in_slices(spark: SparkSession, slices: int, make: Callable[[int], DataFrame]) -> DataFrame:
+    """All rows of make(0), make(1), …, done one after the other, so that only one slice's shuffles are on disk at a time."""
+    parts = []
+    for k in range(slices):
+        parts.append(checkpoint(make(k)))
+        release(spark)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def packed(df: DataFrame) -> Callable[..., DataFrame]:
+    """A checkpoint of compressed columns instead of rows; call it with the names of the columns to read."""
+    schema = df.schema
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+                to.write_batch(batch)
+            yield pa.record_batch({"packed": [sink.getvalue().to_pybytes()]})
+
+    held = checkpoint(df.mapInArrow(pack, "packed binary"))
+
+    def read(*columns: str) -> DataFrame:
+        def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for x in batch.column(0):
+                    with pa.ipc.open_stream(x.as_buffer()) as rows:
+                        for one in rows:
+                            yield one.select([*columns])
+
+        return held.mapInArrow(unpack, StructType([schema[c] for c in columns]))
+
+    return read

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -6,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from quoin import session
 from quoin.llm import encoding_repair, entity_match, mixing, name_variants, names, nn_descent, sentences, tokenizing
 
 SF = "/root/testdata/sf0.001"
@@ -97,6 +99,49 @@ def test_hamming_blocks_lose_no_pair(spark, monkeypatch):
             assert ((i, j) not in got) or (dice >= entity_match.DICE and abs(got[i, j] - dice) < 1e-9)
 
 
+def test_all_pairs_of_an_area_are_compared(spark, monkeypatch):
+    """Also those whose codes agree in no block, in areas split on both sides, and area by area in slices."""
+    monkeypatch.setattr(entity_match, "AREA_ROWS", 3)
+    monkeypatch.setattr(entity_match, "SLICE_ROWS", 10)
+    rng = random.Random(4)
+    nibble = lambda some: sum(rng.choice(some) << (4 * i) for i in range(entity_match.BLOCKS))
+    code = [nibble((7, 14)) if i % 2 else nibble((11, 13)) for i in range(40)] + [0, 0]
+    rows = [("ab"[i % 2], i, names.words64(c, entity_match.WORDS), c.bit_count(), 64, [f"g{i % 3}", f"v{i % 2 + i % 3}"] + ["x1"] * (i < 20)) for i, c in enumerate(code)]
+    got = [tuple(r) for r in entity_match.near_codes(spark.createDataFrame(rows, "side string, id long, code array<long>, n int, u int, areas array<string>")).collect()]
+    want = set()
+    for a in rows[:40:2]:
+        for b in rows[1:40:2]:
+            dice, shared = 2 * (code[a[1]] & code[b[1]]).bit_count() / (a[3] + b[3]), {*a[5]} & {*b[5]}
+            far = all(x[0] == "v" for x in shared)
+            if shared and dice >= (entity_match.FAR_DICE if far else entity_match.DICE):
+                want.add((a[1], b[1], dice, far))
+    assert len(got) == len(want) > 100 and {(a, b, round(d, 9), f) for a, b, d, f in got} == {(a, b, round(d, 9), f) for a, b, d, f in want}
+
+
+def test_slices_leave_no_shuffle_files(spark):
+    def shuffled() -> int:
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle"))
+
+    session.release(spark)
+    time.sleep(2)
+    before = shuffled()
+    seen = []
+
+    def make(k: int):
+        seen.append(shuffled() - before)
+        return spark.range(100_000).select((F.col("id") * 4 + k).alias("id"), F.rand(1).alias("x")).repartition(4, "id")
+
+    def slowly(k: int):
+        time.sleep(2)
+        return make(k)
+
+    read = session.packed(session.in_slices(spark, 4, slowly).withColumn("s", F.array(F.lit("a"), F.col("id").cast("string"))))
+    assert max(seen) < 400_000  # a slice's are about 1.2 MB
+    assert sorted(r["id"] for r in read("id").collect()) == list(range(400_000))
+    assert read("s", "id").where("s[1] = 7").collect()[0].asDict() == {"s": ["a", "7"], "id": 7}
+
+
 def test_variants_are_linked(spark):
     df = spark.createDataFrame([
         (1, "a", 10.0121, 20.0, "Hotel Schönbrück", None), (2, "b", 10.0124, 20.0001, "SCHONBRUCK HTL.", None), (3, "c", 10.0124, 20.0, "Pension Schönbrück", None), (4, "d", 40.0, 20.0, "Hotel Schönbrück", None),
