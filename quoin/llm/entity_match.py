@@ -12,8 +12,8 @@ coarse the half degree they name, the strip of the one number that is known, the
 position is known at all, each two words of the name, or the word of a name of one.
 
 The Dice scores of the fields (name, chain) and the nearness of the places are weighted, checked token by token,
-and turned into a confidence by a curve fitted on labelled pairs. The fit takes at most LABEL_BOUND labelled pairs
-(those with the smallest hash), allows for wrong labels, and holds to a prior curve that a few labels can't overturn.
+and turned into a confidence by a curve fitted on all labelled pairs, whose likelihoods are summed where they lie. The
+fit allows for wrong labels and holds to a prior curve that a few labels can't overturn.
 """
 
 from __future__ import annotations
@@ -44,12 +44,13 @@ AREA_ROWS = 4096
 SLICES, SLICE_ROWS = 4, 40_000
 #: A small table is broadcast up to so many rows, and joined by a shuffle beyond.
 BROADCAST_ROWS = 100_000
-LABEL_BOUND = 20_000
 WRONG_LABELS = 0.05
+#: Curves tried in the fit.
+SLOPES, MIDDLES = np.arange(8.0, 40.1, 2.0), np.arange(0.55, 0.75, 0.005)
 #: Different names at exactly one position beyond this many make it a placeholder, which says no more than the half degree.
 PLACEHOLDER_ROWS = 50
-#: Spellings of names looked at per position, and the similarity from which two are the same name.
-PLACEHOLDER_SAMPLE, SAME_NAME = 500, 0.6
+#: Similarity from which two spellings are the same name.
+SAME_NAME = 0.6
 #: Weights of name, distance and chain; a share of the name's weight goes to the Dice score of the codes.
 W_NAME, W_GEO, W_CHAIN, DICE_PART = 0.85, 0.12, 0.03, 0.15
 #: A match has to be no worse than the best match of its source record by more than this.
@@ -59,6 +60,12 @@ CONFIDENT = 0.5
 PREPARED = "side string, id long, toks array<string>, chain array<string>, pos array<struct<lat:double,lng:double>>, loose boolean, city string, code array<long>, n int, u int, areas array<string>"
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df checkpointed, and marked for broadcast if it has no more than BROADCAST_ROWS rows."""
+    df = checkpoint(df)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """df(name, …) with garbled names restored under the words of the names themselves."""
     values = df.select(F.col("name").alias("text"))
@@ -67,28 +74,37 @@ def clean_names(df: DataFrame) -> DataFrame:
     return out.withColumn("name", F.col("restored")).drop("text", "restored")
 
 
-def _differ(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One row for a position whose names are more than PLACEHOLDER_ROWS different ones, else none."""
-    seen: list[list[str]] = []
-    for toks in sorted({tuple(N.tokens(x)) for x in pdf["name"]} - {()}):
-        if all(N.name_similarity(list(toks), x) < SAME_NAME for x in seen):
-            seen.append(list(toks))
+def _crowded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The positions, whose rows stand together in the order of toks, with more than PLACEHOLDER_ROWS different names."""
+    at, seen = None, []
+    for pdf in batches:
+        hot = []
+        for lat, lng, toks in zip(pdf["lat"], pdf["lng"], pdf["toks"].map(list)):
+            key = tuple(None if x != x else x for x in (lat, lng))
+            if key != at:
+                at, seen = key, []
             if len(seen) > PLACEHOLDER_ROWS:
-                return pdf[["lat", "lng"]].head(1)
-    return pdf[["lat", "lng"]].head(0)
+                continue
+            same = next((i for i, x in enumerate(seen) if N.name_similarity(toks, x) >= SAME_NAME), None)
+            # The name met last comes first, as the next spelling is most often one of it.
+            seen.insert(0, toks if same is None else seen.pop(same))
+            if len(seen) > PLACEHOLDER_ROWS:
+                hot.append((lat, lng))
+        yield pd.DataFrame(hot, columns=["lat", "lng"])
 
 
 def mark_placeholders(df: DataFrame) -> DataFrame:
     """Add ``crowded``: the row's position is one that many different names share to the last digit.
 
-    However often a place is delivered, under however many spellings, its position stays a position.
+    However often a place is delivered, under however many spellings, its position stays a position. All spellings of a
+    position are looked at, one after the other, until PLACEHOLDER_ROWS different names are found.
     """
-    spelled = df.where(F.col("lat").isNotNull() & F.col("lng").isNotNull() & F.col("name").isNotNull()).select("lat", "lng", "name").distinct()
-    many = spelled.groupBy("lat", "lng").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PLACEHOLDER_ROWS).select("lat", "lng")
-    rank = F.row_number().over(Window.partitionBy("lat", "lng").orderBy(F.xxhash64("name"), "name"))
-    sample = spelled.join(many, ["lat", "lng"]).withColumn("rank", rank).where(F.col("rank") <= PLACEHOLDER_SAMPLE)
-    hot = sample.select("lat", "lng", "name").groupBy("lat", "lng").applyInPandas(_differ, "lat double, lng double")
-    return df.join(hot.select("lat", "lng", F.lit(True).alias("crowded")), ["lat", "lng"], "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    toks = F.pandas_udf(lambda s: s.map(N.tokens), "array<string>")
+    named = df.where(F.col("lat").isNotNull() & F.col("lng").isNotNull() & F.col("name").isNotNull()).select("lat", "lng", "name")
+    many = small(named.groupBy("lat", "lng").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PLACEHOLDER_ROWS).select("lat", "lng"))
+    spelled = named.join(many, ["lat", "lng"]).select("lat", "lng", toks("name").alias("toks")).where(F.size("toks") > 0).distinct()
+    hot = small(spelled.repartition("lat", "lng").sortWithinPartitions("lat", "lng", "toks").mapInPandas(_crowded, "lat double, lng double"))
+    return df.join(hot.withColumn("crowded", F.lit(True)), ["lat", "lng"], "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
 
 
 #: The first bit of each block.
@@ -164,12 +180,6 @@ def slices_of(df: DataFrame) -> int:
     return min(SLICES, 1 + df.count() // SLICE_ROWS)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df checkpointed, and marked for broadcast if it has no more than BROADCAST_ROWS rows."""
-    df = checkpoint(df)
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def near_codes(prepared: DataFrame) -> DataFrame:
     """(a, b, dice, far): records of both sides that share an area with a Dice score of DICE or more (FAR_DICE if far).
 
@@ -263,18 +273,30 @@ def score_pairs(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
     return joined.select("a", "b", "far", loose.alias("loose"), place, score("toks_a", "toks_b", "chain_a", "chain_b", "pos_a", "pos_b", loose, town, "dice", "far").alias("score"))
 
 
-def fit_curve(scores: list[float], labels: list[int], prior_mid: float = 0.64, prior_slope: float = 22.0) -> tuple[float, float]:
-    """(slope, middle) of the logistic curve from score to confidence: the likeliest under wrong labels and the prior."""
-    s, y = np.array(scores, float), np.array(labels, float)
-    best, at = -math.inf, (prior_slope, prior_mid)
-    for slope in np.arange(8.0, 40.1, 2.0):
-        for mid in np.arange(0.55, 0.75, 0.005):
-            p = 1 / (1 + np.exp(-slope * (s - mid)))
-            p = WRONG_LABELS + (1 - 2 * WRONG_LABELS) * p
-            like = float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum()) - ((mid - prior_mid) / 0.015) ** 2 / 2 - ((slope - prior_slope) / 6) ** 2 / 2
-            if like > best:
-                best, at = like, (float(slope), float(mid))
-    return at
+def likelihoods(scores: np.ndarray, labels: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Log likelihood of labelled scores, each so many times, under wrong labels: a row per slope, a column per middle."""
+    s, y, n = (np.asarray(x, float)[:, None] for x in (scores, labels, times))
+    out = np.zeros((len(SLOPES), len(MIDDLES)))
+    for i, slope in enumerate(SLOPES):
+        p = WRONG_LABELS + (1 - 2 * WRONG_LABELS) / (1 + np.exp(-slope * (s - MIDDLES)))
+        out[i] = (n * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum(axis=0)
+    return out
+
+
+def _likelihoods(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    like = sum((likelihoods(pdf["score"], pdf["label"], pdf["n"]) for pdf in batches), np.zeros((len(SLOPES), len(MIDDLES))))
+    yield pd.DataFrame({"i": range(like.size), "like": like.ravel()})
+
+
+def fit_curve(known: DataFrame, prior_mid: float = 0.64, prior_slope: float = 22.0) -> tuple[float, float]:
+    """(slope, middle) of the logistic curve from score to confidence, of all rows of known(score, label): the likeliest under wrong labels and the prior."""
+    like = np.zeros(len(SLOPES) * len(MIDDLES))
+    counted = known.groupBy("score", "label").agg(F.count(F.lit(1)).alias("n"))
+    for r in counted.mapInPandas(_likelihoods, "i int, like double").groupBy("i").agg(F.sum("like").alias("like")).collect():
+        like[r["i"]] = r["like"]
+    like = like.reshape(len(SLOPES), -1) - ((MIDDLES - prior_mid) / 0.015) ** 2 / 2 - ((SLOPES[:, None] - prior_slope) / 6) ** 2 / 2
+    i, j = np.unravel_index(like.argmax(), like.shape)
+    return float(SLOPES[i]), float(MIDDLES[j])
 
 
 def match(source: DataFrame, target: DataFrame, towns: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -309,9 +331,8 @@ def match(source: DataFrame, target: DataFrame, towns: DataFrame, labelled: Data
     scored = checkpoint(scored.groupBy("leo_id", "b").agg(F.max(F.when(~F.col("loose"), F.col("score"))).alias("near"), F.max("score").alias("score"), F.min("far").alias("far"), F.first("place").alias("place")))
     del pairs, records, codes, read, score
     release(spark)
-    known = labelled.where(F.col("label").isNotNull()).select("leo_id", F.col("bkg_id").alias("b"), "label").orderBy(F.xxhash64("leo_id", "bkg_id")).limit(LABEL_BOUND)
-    known = known.join(scored, ["leo_id", "b"], "left").select("label", F.coalesce("score", F.lit(0.0)).alias("score")).collect()
-    slope, mid = fit_curve([r["score"] for r in known], [r["label"] for r in known])
+    known = labelled.where(F.col("label").isNotNull()).select("leo_id", F.col("bkg_id").alias("b"), "label")
+    slope, mid = fit_curve(known.join(scored, ["leo_id", "b"], "left").select("label", F.coalesce("score", F.lit(0.0)).alias("score")))
     # Without an exact position the name alone must decide, so it has to be better.
     used = F.coalesce("near", F.col("score") - 0.08)
     out = scored.withColumn("used", used).withColumn("best", F.max("used").over(Window.partitionBy("leo_id")))

@@ -79,6 +79,31 @@ def test_a_position_of_many_rows_of_one_place_is_no_placeholder(spark):
     assert of(found) == of(few) and of(few)
 
 
+def _crowd(lat: float) -> list[tuple]:
+    """2,000 spellings of one name and 60 other names at one position: of 500 spellings some 15 were other names."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+    typed = lambda w: w[: (i := rng.randrange(len(w)))] + rng.choice("aeioulnrst") + w[i + 1 :]
+    one = {f"Hotel {typed('Schonbruckental')} {typed('Rauhensteinerhof')}" for _ in range(2000)}
+    return [(lat, 20.0121, x) for x in sorted(one)] + [(lat, 20.0121, f"{word()} {word()}") for _ in range(60)]
+
+
+def test_all_spellings_of_a_position_count(spark):
+    marked = entity_match.mark_placeholders(spark.createDataFrame(_crowd(10.0121) + [r for r in _crowd(11.0121) if "Hotel" in r[2]], "lat double, lng double, name string"))
+    assert {(r["lat"], r["crowded"]) for r in marked.select("lat", "crowded").distinct().collect()} == {(10.0121, True), (11.0121, False)}
+
+
+def test_the_curve_is_fitted_on_all_labels(spark):
+    """25,000 labels: 20,000 that a limit in the order of the hash would leave, and 5,000 beyond that move the curve."""
+    keys = spark.range(25_000).select(F.concat(F.lit("l"), "id").alias("leo_id"), F.col("id").alias("bkg_id"))
+    first = keys.orderBy(F.xxhash64("leo_id", "bkg_id")).limit(20_000).withColumn("first", F.lit(True))
+    known = keys.join(first, ["leo_id", "bkg_id"], "left").select(F.when(F.col("first"), 0.75).otherwise(0.6).alias("score"), F.lit(1).alias("label"))
+    s, y = np.array([0.75] * 20_000 + [0.6] * 5_000), np.ones(25_000)
+    best = lambda s, y: max(((float(np.log(0.05 + 0.9 / (1 + np.exp(-a * (s - m)))).sum()) - ((m - 0.64) / 0.015) ** 2 / 2 - ((a - 22.0) / 6) ** 2 / 2, a, m) for a in entity_match.SLOPES for m in entity_match.MIDDLES))[1:]
+    assert np.allclose(entity_match.fit_curve(known), best(s, y)) and not np.allclose(best(s, y), best(s[:20_000], y[:20_000]))
+    assert entity_match.fit_curve(known.limit(0)) == (22.0, pytest.approx(0.64))
+
+
 def test_hamming_blocks_lose_no_pair(spark, monkeypatch):
     """Against all pairs: in one area, split over keys, every pair from ``exact_from`` up is found, and none below DICE."""
     monkeypatch.setattr(entity_match, "AREA_ROWS", 40)
