@@ -63,7 +63,7 @@ PREPARED = "side string, id long, toks array<string>, chain array<string>, pos a
 def small(df: DataFrame) -> DataFrame:
     """df checkpointed, and marked for broadcast if it has no more than BROADCAST_ROWS rows."""
     df = checkpoint(df)
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def clean_names(df: DataFrame) -> DataFrame:
@@ -180,10 +180,10 @@ def slices_of(df: DataFrame) -> int:
     return min(SLICES, 1 + df.count() // SLICE_ROWS)
 
 
-def near_codes(prepared: DataFrame) -> DataFrame:
+def near_codes(prepared: DataFrame, slices: int | None = None) -> DataFrame:
     """(a, b, dice, far): records of both sides that share an area with a Dice score of DICE or more (FAR_DICE if far).
 
-    far: they only share two words of their names, or the word of a name of one.
+    far: they only share two words of their names, or the word of a name of one. slices: by the number of records if not given.
     """
     spark = prepared.sparkSession
     code = [F.col("code")[i].alias(f"c{i}") for i in range(WORDS)]
@@ -192,8 +192,9 @@ def near_codes(prepared: DataFrame) -> DataFrame:
     rows = at.groupBy("area").agg(F.count_if(F.col("side") == "a").alias("na"), F.count_if(F.col("side") == "b").alias("nb")).where("na > 0 AND nb > 0")
     parts = lambda n: F.ceil(F.col(n) / AREA_ROWS).cast("int")
     crowded = small(rows.where(F.greatest("na", "nb") > AREA_ROWS).select("area", parts("na").alias("pa"), parts("nb").alias("pb")))
-    release(spark)
-    slices = slices_of(prepared)
+    slices = slices or slices_of(prepared)
+    if slices > 1:
+        release(spark)
 
     def side(own: DataFrame, name: str) -> DataFrame:
         """A record of a crowded area has the key of one of its own side's parts with each of the other side's."""
@@ -208,7 +209,7 @@ def near_codes(prepared: DataFrame) -> DataFrame:
     common = sum((F.bit_count(F.col(f"a{i}").bitwiseAND(F.col(f"b{i}"))) for i in range(WORDS)), F.lit(0))
 
     def near(k: int) -> DataFrame:
-        own = at.where(F.pmod("area", F.lit(slices)) == k)
+        own = at.where(F.pmod("area", F.lit(slices)) == k) if slices > 1 else at
         both = side(own, "a").join(side(own, "b"), "h").select("a", "b", "far", (2 * common / (bits("a") + bits("b"))).alias("dice"))
         both = both.where(F.col("dice") >= F.when(F.col("far"), FAR_DICE).otherwise(DICE))
         return both.groupBy("a", "b").agg(F.first("dice").alias("dice"), F.min("far").alias("far"))
@@ -223,7 +224,7 @@ def anywhere(few: DataFrame, every: DataFrame) -> DataFrame:
     two = F.flatten(F.transform("words", lambda x: F.transform(F.filter("words", lambda y: y > x), lambda y: F.concat(F.lit("v"), x, F.lit(" "), y))))
     one = F.transform("words", lambda x: F.concat(F.lit("v"), x))
     of = lambda df, side: df.select(F.lit(side).alias("side"), "id", "code", "n", "u", (F.concat(two, one) if side == "b" else F.when(F.size("words") > 1, two).otherwise(one)).alias("areas"))
-    return near_codes(of(few, "a").unionByName(of(every, "b"))).select("a", "b")
+    return near_codes(of(few, "a").unionByName(of(every, "b")), 1).select("a", "b")
 
 
 @lru_cache(maxsize=20_000)

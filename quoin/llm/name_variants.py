@@ -157,7 +157,7 @@ def link_places(df: DataFrame, towns: DataFrame) -> DataFrame:
     Null and blank names and null leo_ids link nothing; a null chain is allowed; deliveries of one leo_id count
     together and don't link it to itself. Towns may be empty.
     """
-    cleaned = E.clean_names(df.select(F.col("rec_id").alias("id"), "name", "chain", "lat", "lng"))
+    cleaned = checkpoint(E.clean_names(df.select(F.col("rec_id").alias("id"), "name", "chain", "lat", "lng")))
     spelled = checkpoint(spread(E.mark_placeholders(cleaned)).mapInPandas(_spell, SPELLED))
     town = checkpoint(_towns(spelled, towns))
     pairs = _met(spelled, town)

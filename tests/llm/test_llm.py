@@ -177,6 +177,16 @@ def test_variants_are_linked(spark):
     assert name_variants.link_places(df.limit(0), _towns(spark)).count() == 0
 
 
+def test_a_placeholder_is_known_by_all_its_spellings(spark):
+    """600 spellings of one name and 56 other names: of 500 spellings fewer than 51 were different names, and the place counted as exact."""
+    crowd = _crowd(10.0121)
+    crowd = crowd[:600] + crowd[-56:]
+    rows = [(i, f"l{i}", *r[:2], r[2], None) for i, r in enumerate(crowd)]
+    pair = [(9001, "x", 10.0121, 20.0121, "Hotel Zwiebach Eismoos", None), (9002, "y", 10.0121, 20.0121, "Hotel Zwiebach", None)]
+    linked = lambda some: ("x", "y") in {tuple(r) for r in name_variants.link_places(spark.createDataFrame(some, SOURCE), _towns(spark)).where("key_a = 'x' OR key_b = 'x'").collect()}
+    assert linked(rows[:600] + pair) and not linked(rows + pair)
+
+
 def test_chains(spark):
     codes = spark.createDataFrame([("PM", "Priora Gästehäuser"), ("LJ", "Lumolune Boutique Hotels"), ("BY", "Belnova Ever Hotel Group"), ("PP", "Belnova Boutique Hotels"), ("X", None)], "chain_code string, chain_name string")
     typed = ["Priora Gästehäuser", "prioar gastehauser GmbH", "Prior", "LBH", "Belnova", "Belnova Ever", "Schön Familienbetriebe", "independent", "", None, "n/a", "Boutique Hotels", "Proira", "Lumolune, Boutique Htls"]
