@@ -5,7 +5,8 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from difflib import SequenceMatcher
-from itertools import combinations
+from heapq import heappop, heappush
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,8 +26,6 @@ ABBREVIATIONS = {
 SPACED, DELETED = "-&/'", r"[,.:;!|_()\[\]<>{}\"]"
 ACCENTED = "áàâäãåāăąçćčďđéèêëēęěğíìîïīıłńñňóòôöõōőøřśšşșťțúùûüūůűýÿźžż"
 PLAIN = "aaaaaaaaacccddeeeeeeegiiiiiilnnnoooooooorssssttuuuuuuuyyzzz"
-#: Beyond so many tokens the combinations of token_swap_ratio aren't tried, only the sorted names compared.
-SWAP_LIMIT = 9
 
 
 def fold(c: Column) -> Column:
@@ -59,23 +58,85 @@ def ratio_of(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio() if a and b else 0.0
 
 
+def _masks(a: str) -> dict[str, int]:
+    """Places of each character in ``a`` as bits."""
+    out: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        out[ch] = out.get(ch, 0) | 1 << i
+    return out
+
+
+def _advance(rows: int, masks: dict[str, int], full: int, b: str) -> int:
+    """State of the bit-parallel longest common subsequence after ``b``; its zeros are the length."""
+    for ch in b:
+        u = rows & masks.get(ch, 0)
+        rows = (rows + u | rows - u) & full
+    return rows
+
+
+def common_of(a: str, b: str) -> int:
+    """Length of the longest common subsequence; the characters that ``ratio_of`` matches are one, so they are no more."""
+    full = (1 << len(a)) - 1
+    return len(a) - _advance(full, _masks(a), full, b).bit_count()
+
+
+def ratio_above(a: str, b: str, least: float = 0.0) -> float:
+    """ratio_of where it can be above ``least``, else 0."""
+    return ratio_of(a, b) if a and b and 2 * common_of(a, b) / (len(a) + len(b)) > least else 0.0
+
+
 def swap_ratio_of(a: str, b: str, least: float = 0.0) -> float:
-    """Best ratio of the sorted tokens, where the longer name may leave tokens out; anything up to ``least`` may come out as that."""
-    x, y = sorted(a.split()), b.split()
+    """Best ratio of the sorted tokens, where the longer name may leave tokens out; anything up to ``least`` may come out as that or 0.
+
+    Of names with k < n tokens, all choices of k - 1, k and k + 1 of the n count. They are searched from the highest
+    bound down: a choice begun matches no more than its tokens and all those not decided yet would, and is no shorter
+    than with the shortest of those. What can't be above the best so far is left, so the result is that of all choices.
+    """
+    x, y = sorted(a.split()), sorted(b.split())
     if len(x) == len(y):
-        return ratio_of(" ".join(x), " ".join(sorted(y)))
-    x, y = (sorted(a.split()), sorted(b.split())) if len(a.split()) < len(b.split()) else (sorted(b.split()), sorted(a.split()))
-    if not x or len(y) > SWAP_LIMIT:
-        return ratio_of(" ".join(x), " ".join(y))
-    sizes = {len(x), len(x) + 1} | ({len(x) - 1} if len(x) > 1 else set())
-    short, best = " ".join(x), least
-    have = Counter(short)
-    for n in sizes:
-        for c in combinations(y, n):
-            long = " ".join(c)
-            # Only what shares enough characters to be better is compared.
-            if 2 * (have & Counter(long)).total() > best * (len(short) + len(long)):
-                best = max(best, ratio_of(short, long))
+        return ratio_above(" ".join(x), " ".join(y), least)
+    if len(x) > len(y):
+        x, y = y, x
+    if not x:
+        return 0.0
+    short, best, count = " ".join(x), least, 0
+    full, masks = (1 << len(short)) - 1, _masks(short)
+    # Of the tokens from i on: their text, and the lengths of the shortest and the longest with a space each, summed up.
+    rest = [" ".join(y[i:]) for i in range(len(y) + 1)]
+    lengths = [sorted(len(t) + 1 for t in y[i:]) for i in range(len(y) + 1)]
+    least_of = [[0, *accumulate(t)] for t in lengths]
+    most_of = [[0, *accumulate(reversed(t))] for t in lengths]
+    todo: list[tuple] = []
+
+    def add(i: int, left: int, chosen: str, rows: int, matched: int) -> None:
+        """A choice begun: ``left`` tokens to take from i on, its state, and what it matches with all of these (-1: not known)."""
+        nonlocal count
+        size = len(chosen) + least_of[i][left] - (not chosen)
+        if left == len(y) - i:
+            i, chosen, left = len(y), f"{chosen} {rest[i]}" if chosen and left else chosen or rest[i], 0
+        elif left == 0:
+            i, matched = len(y), len(short) - rows.bit_count()
+        if matched < 0:
+            end = _advance(rows, masks, full, rest[i] if not chosen else f" {rest[i]}") if left else _advance(full, masks, full, chosen)
+            matched = len(short) - end.bit_count()
+        top = min(matched, len(chosen) + most_of[i][left] - (not chosen))
+        bound = 2 * top / (len(short) + max(size, top))
+        if bound > best:
+            count += 1
+            heappush(todo, (-bound, count, i, left, chosen, rows, matched))
+
+    for n in {len(x) - 1 or 1, len(x), len(x) + 1}:
+        add(0, n, "", full, -1)
+    while todo:
+        bound, _, i, left, chosen, rows, matched = heappop(todo)
+        if -bound <= best:
+            break
+        if left == 0:
+            best = max(best, ratio_of(short, chosen))
+            continue
+        token = f" {y[i]}" if chosen else y[i]
+        add(i + 1, left - 1, chosen + token, _advance(rows, masks, full, token), matched)
+        add(i + 1, left, chosen, rows, -1)
     return best
 
 

@@ -70,6 +70,18 @@ def test_names_and_similarity(spark):
     assert (room[0]["s"], room[0]["v"], room[1]["s"]) == (25.0, ["Garden", "City"], 0.0)
 
 
+def test_token_swap_ratio_of_long_names_equals_all_choices():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(9)]
+    assert text.swap_ratio_of("alpha beta", "alpha beta " + " ".join(f"x{i}" for i in range(9))) == 1.0
+    for _ in range(60):
+        a, b = (" ".join(rng.choice(words) for _ in range(n)) for n in (rng.randint(1, 4), rng.randint(7, 12)))
+        x, y, least = sorted(a.split()), sorted(b.split()), rng.choice([0, 0.4, 0.6])
+        best = max(text.ratio_of(" ".join(x), " ".join(c)) for n in {len(x) - 1 or 1, len(x), len(x) + 1} for c in itertools.combinations(y, n))
+        got = text.swap_ratio_of(a, b, least)
+        assert got == best if best > least else got <= least
+
+
 def test_coordinates(spark):
     df = spark.createDataFrame([(123456.0,), (1234567.0,), (12345678.0,), (12.5,), (12.0,), (None,)], "c double")
     assert [r[0] for r in df.select(geo.repair_scaled(F.col("c"))).collect()] == [12.3456, 12.34567, 12.345678, 12.5, None, None]
