@@ -150,55 +150,38 @@ def swap_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([swap_ratio_of(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 
 
-def _shared(a: str, b: str) -> int:
-    """Characters two strings share, wherever they stand."""
-    return (Counter(a) & Counter(b)).total()
-
-
-def similarity_from(swap: bool = False):
-    """Column function (a, b, least) of the ratio, or with ``swap`` of the token-swap ratio, that gives 0 where it can't be above ``least``.
-
-    The matching characters are no more than the shared ones; names that leave tokens out are no shorter than those.
-    """
-
-    @F.pandas_udf(T.DoubleType())
-    def similarity(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
-        out = []
-        for x, y, low in zip(a, b, least):
-            x, y = x or "", y or ""
-            m = _shared(x, y)
-            top = (2 * m / (min(len(x), len(y)) + m) if swap else 2 * m / (len(x) + len(y))) if m else 0.0
-            out.append(0.0 if top <= low else swap_ratio_of(x, y, low) if swap else ratio_of(x, y))
-        return pd.Series(out, dtype="float64")
-
-    return similarity
-
-
-def similarity_above(least: float, swap: bool = False):
-    """similarity_from for one ``least``."""
-    return lambda a, b: similarity_from(swap)(a, b, F.lit(float(least)))
-
-
-#: Groups of characters counted by ``letters``.
-LETTER_GROUPS = 24
-
-
-def letters(c: Column) -> Column:
-    """How many characters of each of LETTER_GROUPS groups a name has."""
-    at = F.transform(F.split(c, ""), lambda x: F.when(x != "", F.ascii(x) % LETTER_GROUPS))
-    return F.transform(F.sequence(F.lit(0), F.lit(LETTER_GROUPS - 1)), lambda i: F.size(F.filter(at, lambda x: x == i)))
-
-
-def shared_bound(bag_a: Column, bag_b: Column, a: Column, b: Column, swap: bool = False) -> Column:
-    """No ratio (or token-swap ratio) of two names is above this, by the characters they share."""
-    m = F.aggregate(F.zip_with(bag_a, bag_b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    whole = F.least(F.length(a), F.length(b)) + m if swap else F.length(a) + F.length(b)
-    return F.coalesce(F.try_divide(2.0 * m, whole), F.lit(0.0))
-
-
-def ratio_bound(a: Column, b: Column) -> Column:
-    """No ratio is above twice the shorter length over both: a filter before the Python comparison."""
-    return F.coalesce(F.try_divide(2 * F.least(F.length(a), F.length(b)), F.length(a) + F.length(b)), F.lit(0.0))
+#: ``letter_bits`` counts characters in groups, up to 8 of each in the bits of longs and the others in one number.
+LETTER_GROUPS = 32
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def letter_bits(s: pd.Series) -> pd.Series:
+    """Counts of a name's characters by LETTER_GROUPS groups: four longs of unary counts, what goes beyond those, its length and its words."""
+
+    def one(x: str | None) -> list[int]:
+        words = (x or "").split()
+        # With whatever stands between words as well as with one space, so that it holds for sorted words too.
+        plain, bits, over = " ".join(words), 0, 0
+        for group, n in (Counter(ord(ch) % LETTER_GROUPS for ch in x or "") | Counter(ord(ch) % LETTER_GROUPS for ch in plain)).items():
+            bits |= (1 << min(n, 8)) - 1 << 8 * group
+            over += max(0, n - 8)
+        longs = [bits >> 64 * i & (1 << 64) - 1 for i in range(4)]
+        return [*(v - (1 << 64) if v >> 63 else v for v in longs), over, min(len(x or ""), len(plain)), len(words)]
+
+    return s.map(one)
+
+
+def bits_bound(a: str, b: str, swap: bool = False) -> Column:
+    """No ratio (or token-swap ratio) of two names is above this, by the characters they share; columns of ``letter_bits``."""
+    at = lambda c, i: F.get(F.col(c), F.lit(i))
+    m = F.least(at(a, 4), at(b, 4))
+    for i in range(4):
+        m = m + F.bit_count(at(a, i).bitwiseAND(at(b, i)))
+    both = at(a, 5) + at(b, 5)
+    if swap:
+        # Of the longer name words may be left out, but no fewer characters than match are in what stays.
+        both = F.when(at(a, 6) == at(b, 6), both).when(at(a, 6) < at(b, 6), at(a, 5) + m).otherwise(at(b, 5) + m)
+    return F.coalesce(F.try_divide(2.0 * m, both), F.lit(0.0))
 
 
 def included(a: Column, b: Column) -> Column:

@@ -188,3 +188,41 @@ def test_shared_letters_never_rule_out_a_pair(spark, swap):
     got = {r["id"]: r["score"] for r in matching.compared(df, 0.6, swap).collect()}
     of = text.swap_ratio_of if swap else text.ratio_of
     assert {i: round(of(a, b), 9) for i, a, b in pairs if of(a, b) > 0.6} == {i: round(x, 9) for i, x in got.items()}
+
+
+def test_cascade_equals_pass_by_pass_greedy(spark, monkeypatch):
+    monkeypatch.setattr(matching, "LAST_EDGES", 5)  # rounds first, then one by one
+    rng = random.Random(8)
+    words = ["lumo", "verano", "talstad", "brook", "kesridge", "north", "solvia"]
+    place = lambda i: [(47 + rng.random() / 20, 9 + rng.random() / 20), (89.99 + rng.random() / 100, rng.uniform(-180, 180)), (rng.random() / 20, 179.98 + rng.random() / 50), (rng.random() / 20, -180 + rng.random() / 50)][i % 4]
+    rows = lambda n: [(i, *place(i), " ".join(rng.sample(words, rng.randint(1, 4)))) for i in range(n)]
+    a, b = rows(60), rows(70)
+    src, tgt = (spark.createDataFrame(x, f"{c}_id long, lat double, lng double, name string") for x, c in ((a, "src"), (b, "tgt")))
+    near = {(r["src_id"], r["tgt_id"]): r["dist_m"] for r in matching.radius_join(src, tgt, 6).collect()}
+    assert {(r["src_id"], r["tgt_id"]) for r in matching._near(src.drop("name"), tgt.drop("name"), 6, []).collect()} == set(near)
+    used, free, want = set(), set(), set()
+    names = {c: {r["i"]: (r["x"], r["y"]) for r in df.select(F.col(f"{c}_id").alias("i"), text.normalize(F.col("name")).alias("x"), text.normalize(F.col("name"), stopwords=False).alias("y")).collect()} for df, c in ((src, "src"), (tgt, "tgt"))}
+    for step, (km, least, only, swap) in enumerate(matching.CASCADE):
+        of = text.swap_ratio_of if swap else text.ratio_of
+        left = [(-of(names["src"][x][swap], names["tgt"][y][swap]), x, y) for (x, y), d in near.items() if d <= km * 1000 and x not in used and y not in free]
+        left = sorted(e for e in left if -e[0] > least)
+        left = [e for e in left if sum(o[1] == e[1] for o in left) == 1] if only else left
+        for s, x, y in left:
+            if x not in used and y not in free:
+                used.add(x)
+                free.add(y)
+                want.add((x, y, round(-s, 9), step))
+    assert want and {(r["src_id"], r["tgt_id"], round(r["score"], 9), r["step"]) for r in matching.cascade(src, tgt).collect()} == want
+
+
+def test_names_are_compared_once(spark, tmp_path, monkeypatch):
+    def noted(a, b, least=0.0):
+        with open(seen, "a") as f:
+            f.write("x")
+        return 1.0
+
+    seen = str(tmp_path / "seen")
+    monkeypatch.setattr(text, "ratio_above", noted)
+    pairs = spark.createDataFrame([(i, "lumo north", "north lumo") for i in range(20)], "id int, a string, b string")
+    assert matching.compared(pairs, 0.1).count() == 20
+    assert len(open(seen).read()) == 1
