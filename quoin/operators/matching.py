@@ -57,7 +57,7 @@ def candidates(src: DataFrame, tgt: DataFrame, km: float, least: float, stopword
         local = F.col("words")
     near = near.withColumn("a", text.normalize(F.col("name_a"), local)).withColumn("b", text.normalize(F.col("name_b"), local))
     near = near.withColumn("fa", text.normalize(F.col("name_a"), stopwords=False)).withColumn("fb", text.normalize(F.col("name_b"), stopwords=False))
-    near = checkpoint(near.select("src_id", "tgt_id", "dist_m", "a", "b", "fa", "fb"))
+    near = checkpoint(spread(near.select("src_id", "tgt_id", "dist_m", "a", "b", "fa", "fb")))
     kept = compared(near.select("src_id", "tgt_id", "dist_m", F.col("a").alias("na"), F.col("b").alias("nb"), F.col("fa").alias("a"), F.col("fb").alias("b")), least, True)
     return kept.select("src_id", "tgt_id", text.ratio("na", "nb").alias("name_sim"), F.col("score").alias("name_sim_sw"), "dist_m")
 

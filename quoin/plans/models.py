@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quoin.functions import text
 from quoin.operators import matching
 from quoin.operators.regions import has_position
-from quoin.session import table
+from quoin.session import checkpoint, spread, table
 
 FEATURES = ["name_sim", "name_sim_sw", "dist_m", "included"]
 
@@ -40,9 +40,11 @@ def classified_matches(spark: SparkSession, sf_dir: str, km: float = 1.0) -> Dat
     h, b = table(spark, sf_dir, "leoh"), table(spark, sf_dir, "bkgh")
     src = h.where(has_position(F.col("lat"), F.col("lng"))).select(F.col("rec_id").alias("src_id"), "leo_id", "name", "lat", "lng", "chain")
     tgt = b.where("lat IS NOT NULL AND lng IS NOT NULL").select(F.col("bkg_id").alias("tgt_id"), "name", "lat", "lng", "chain")
-    cands = features(matching.candidates(src, tgt, km, 0.3), src, tgt)
+    cands = checkpoint(spread(features(matching.candidates(src, tgt, km, 0.3), src, tgt)))  # read many times: by the training's steps and the scoring
     known = table(spark, sf_dir, "labelled_pairs").where("label IS NOT NULL").select("leo_id", F.col("bkg_id").alias("tgt_id"), F.col("label").cast("double").alias("label"))
     training = cands.join(src.select("src_id", "leo_id"), "src_id").join(known, ["leo_id", "tgt_id"])
+    # Held in one order: the forest's samples go by partition and row.
+    training = checkpoint(training.repartition("src_id", "tgt_id").sortWithinPartitions("src_id", "tgt_id"))
     if training.select("label").distinct().count() < 2:
         scored = cands.withColumn("p", F.col("name_sim"))
     else:

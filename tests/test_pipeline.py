@@ -226,3 +226,21 @@ def test_names_are_compared_once(spark, tmp_path, monkeypatch):
     pairs = spark.createDataFrame([(i, "lumo north", "north lumo") for i in range(20)], "id int, a string, b string")
     assert matching.compared(pairs, 0.1).count() == 20
     assert len(open(seen).read()) == 1
+
+
+def test_classifier_compares_its_candidates_once(spark, tmp_path, monkeypatch):
+    def noted(a, b, least=0.0):
+        with open(seen, "a") as f:
+            f.write(f"{a}|{b}\n")
+        return 1.0 if a == b else 0.5
+
+    seen = str(tmp_path / "seen")
+    monkeypatch.setattr(text, "swap_ratio_of", noted)
+    rows = [(i, f"lumo north {i % 4}{i // 4}x", 47 + (i % 4) / 1000, 9.0, None) for i in range(12)]
+    hotels = spark.createDataFrame(rows, "bkg_id long, name string, lat double, lng double, chain string")
+    hotels.withColumns({"rec_id": F.col("bkg_id"), "leo_id": F.col("bkg_id")}).drop("bkg_id").write.parquet(str(tmp_path / "leoh.parquet"))
+    hotels.write.parquet(str(tmp_path / "bkgh.parquet"))
+    spark.createDataFrame([(i, j, int(i == j)) for i in range(6) for j in range(6)], "leo_id long, bkg_id long, label int").write.parquet(str(tmp_path / "labelled_pairs.parquet"))
+    assert models.classified_matches(spark, str(tmp_path)).count() > 0
+    calls = open(seen).read().split("\n")[:-1]
+    assert calls and len(calls) == len(set(calls))
